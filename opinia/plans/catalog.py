@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinia.functions.stop_words import stop_words_frame
 from opinia.functions.text import LEGACY, TokenizerConfig
-from opinia.operators import evaluation, explore, naive_bayes, neighbours, scaling, selection, terms
+from opinia.operators import (
+    classifiers,
+    evaluation,
+    explore,
+    features,
+    naive_bayes,
+    reduction,
+    scaling,
+    selection,
+    terms,
+)
 from opinia.plans.oracle import EMOJI_STAND_INS, GIVEN_WORDS
 from opinia.sources.readers import corpus, labelled, table, unlabelled
 from opinia.sources.writers import prediction_export
@@ -172,12 +183,47 @@ def _naive_bayes(kind: str) -> Query:
 cnb_predict = _naive_bayes("complement")
 
 
-def knn_predict(spark, folder):
-    counted, n = _dev_terms(spark, folder), _n_labelled(spark, folder)
-    words = terms.with_idf(terms.vocabulary(counted, n, max_df=0.5, min_df=1), n)
-    known = terms.tfidf_vectors(counted, words)
-    new = terms.tfidf_vectors(_eva_terms(spark, folder), words)
-    return neighbours.knn_predict(new, known)
+def _classifier(**settings) -> Query:
+    """Fit on the labelled texts, predict the others."""
+
+    def query(spark, folder):
+        fitted = classifiers.fit_classifier(_dev_terms(spark, folder), classifiers.ClassifierSettings(**settings))
+        return fitted.predict(_eva_terms(spark, folder)).select("doc_id", "predicted")
+
+    return query
+
+
+def _reduced(features: DataFrame, stage) -> DataFrame:
+    dense = stage.transform(features)
+    return dense.select("doc_id", vector_to_array("reduced").alias("reduced"))
+
+
+def lsa_features(spark, folder):
+    counted = _dev_terms(spark, folder)
+    words = features.fit_vectoriser(counted, 0.5, 2)
+    vectors = features.sparse_features(counted, words, words.count())
+    return _reduced(vectors, reduction.fit_svd(vectors, 20, words.count()))
+
+
+def pca_features(spark, folder):
+    counted = _dev_terms(spark, folder)
+    words = features.fit_vectoriser(counted, 0.5, 2, max_features=500)
+    vectors = features.sparse_features(counted, words, words.count())
+    return _reduced(vectors, reduction.fit_pca(vectors, 10, words.count()))
+
+
+def feature_importances(spark, folder):
+    settings = classifiers.ClassifierSettings("randomforest", min_df=5, trees=20, max_depth=10)
+    forest = classifiers.fit_classifier(_dev_terms(spark, folder, (1, 1)), settings)
+    return classifiers.feature_importances(forest, 30)
+
+
+def stemmed_vocab(spark, folder):
+    return terms.stemmed_vocabulary(terms.tokenize(corpus(spark, folder)))
+
+
+def tokens_stemmed(spark, folder):
+    return _flat(terms.tokenize(corpus(spark, folder), TokenizerConfig(stemmer=True)))
 
 
 def scored_export(spark, folder):
@@ -245,7 +291,18 @@ def queries() -> dict[str, Query]:
         "mnb_predict": _naive_bayes("multinomial"),
         "cnb_predict": cnb_predict,
         "gnb_predict": _naive_bayes("gaussian"),
-        "knn_predict": knn_predict,
+        "knn_predict": _classifier(classifier="knn", min_df=1),
+        "linear_svm_predict": _classifier(classifier="linearsvc", loss="hinge", C=3.0, max_iter=20),
+        "squared_hinge_svm_predict": _classifier(classifier="linearsvc", loss="squared_hinge", C=3.0),
+        "l1_svm_predict": _classifier(classifier="linearsvc", loss="squared_hinge", penalty="l1", C=3.0),
+        "sgd_svm_predict": _classifier(classifier="sgd", max_iter=20),
+        "random_forest_predict": _classifier(classifier="randomforest", min_df=5, trees=20, max_depth=10),
+        "decision_tree_predict": _classifier(classifier="decisiontree", min_df=5, max_depth=10),
+        "lsa_features": lsa_features,
+        "pca_features": pca_features,
+        "feature_importances": feature_importances,
+        "stemmed_vocab": stemmed_vocab,
+        "tokens_stemmed": tokens_stemmed,
         "scored_export": scored_export,
         "stratified_folds": stratified_folds,
         "fold_idf": fold_idf,
