@@ -24,8 +24,9 @@ from opinia.operators import naive_bayes
 from opinia.operators.features import fit_vectoriser, sparse_features, sparse_rows
 from opinia.operators.linear import DRIVER_WEIGHTS, fit_squared_hinge, fit_squared_hinge_table
 from opinia.operators.lookup import lookup_terms
+from opinia.operators.materialize import materialize, shrink_partitions
 from opinia.operators.neighbours import knn_predict
-from opinia.operators.reduction import fit_svd
+from opinia.operators.reduction import ROWS_PER_PARTITION, fit_svd
 from opinia.operators.scaling import SCALERS
 from opinia.operators.terms import term_rows, tfidf_vectors
 
@@ -190,6 +191,8 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
         column = "scaled"
     if name == "knn" or (name == "linearsvc" and settings.loss == "squared_hinge"):
         raise ValueError(f"{name} with this loss is not available on scaled or reduced features")
+    # Iterative fits read the features many times.
+    features = shrink_partitions(materialize(features), ROWS_PER_PARTITION)
     indexer = StringIndexerModel.from_labels(classes, inputCol="class", outputCol="label")
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=classes)
     fitted = Pipeline(stages=[*stages, _estimator(settings, column, n_docs)]).fit(indexer.transform(features))

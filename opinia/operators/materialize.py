@@ -24,3 +24,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write the rows to the checkpoint folder and go on from there, so that later passes do not redo the work."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def shrink_partitions(df: DataFrame, rows_each: int) -> DataFrame:
+    """For iterative jobs on small tables: no more partitions than rows make worthwhile. ``df`` is cheap to count."""
+    wanted = -(-max(df.count(), 1) // rows_each)
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df

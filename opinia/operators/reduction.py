@@ -8,15 +8,19 @@ import numpy as np
 from pyspark.ml import Transformer
 from pyspark.ml.feature import PCA
 from pyspark.ml.linalg import DenseVector, VectorUDT
-from pyspark.mllib.linalg import Vectors as RowVectors
 from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinia.operators.materialize import materialize, shrink_partitions
+
 # Entries of the terms x components matrix, which driver and executors hold: 8 bytes each.
 PROJECTION_ENTRIES = 250_000_000
 # PCA holds a dense covariance matrix of this many columns squared.
 PCA_COLUMNS = 8_000
+# A pass over fewer rows than this is not worth another task.
+ROWS_PER_PARTITION = 2000
 
 
 class Projection(Transformer):
@@ -41,8 +45,13 @@ def fit_svd(features: DataFrame, components: int, size: int) -> Projection:
     components = min(components, size)
     if components * size > PROJECTION_ENTRIES:
         raise ValueError("terms x components is too large; prune the vocabulary (min_df, max_features) first")
-    rows = features.select("features").rdd.map(lambda r: RowVectors.fromML(r[0]))
-    return Projection(RowMatrix(rows, numCols=size).computeSVD(components).V.toArray())
+    # The solver passes over the rows many times: written out once, then read without any Python in between.
+    rows = shrink_partitions(materialize(features.select("features")), ROWS_PER_PARTITION)
+    rows = MLUtils.convertVectorColumnsFromML(rows, "features").persist()
+    try:
+        return Projection(RowMatrix(rows, numCols=size).computeSVD(components).V.toArray())
+    finally:
+        rows.unpersist()
 
 
 def fit_pca(features: DataFrame, components: int, size: int):

@@ -21,7 +21,8 @@ from opinia.operators import (
     selection,
     terms,
 )
-from opinia.plans.oracle import EMOJI_STAND_INS, GIVEN_WORDS
+from opinia.plans import search
+from opinia.plans.oracle import EMOJI_STAND_INS, GIVEN_WORDS, GRID
 from opinia.sources.readers import corpus, labelled, table, unlabelled
 from opinia.sources.writers import prediction_export
 
@@ -259,6 +260,27 @@ def cv_f1_weighted(spark, folder):
     return _rounded(evaluation.cross_validation_score(oof_predictions(spark, folder)), "f1_weighted")
 
 
+def grid_search(spark, folder):
+    params = {
+        "classifier": list(dict.fromkeys(f"{kind}nb" for kind, _, _ in GRID)),
+        "max_df": list(dict.fromkeys(max_df for _, max_df, _ in GRID)),
+        "min_df": list(dict.fromkeys(min_df for _, _, min_df in GRID)),
+        "ngram_range": [BOTH],
+    }
+    log = search.run_search(labelled(spark, folder), search.parameter_grid(params))
+    return _rounded(log.select("config_id", "classifier", "max_df", "min_df", "f1_weighted"), "f1_weighted")
+
+
+def best_config(spark, folder):
+    return search.best_configuration(grid_search(spark, folder))
+
+
+def svm_grid_search(spark, folder):
+    """Three folds and two values of C; the whole default grid takes 240 fits."""
+    params = {"classifier": ["linearsvc"], "C": [2.0, 3.0], "loss": ["squared_hinge"], "min_df": [2]}
+    return search.run_search(labelled(spark, folder), search.parameter_grid(params), k=3)
+
+
 def queries() -> dict[str, Query]:
     return {
         "class_counts": class_counts,
@@ -310,4 +332,7 @@ def queries() -> dict[str, Query]:
         "confusion_matrix": confusion_matrix,
         "fold_f1_weighted": fold_f1_weighted,
         "cv_f1_weighted": cv_f1_weighted,
+        "grid_search": grid_search,
+        "best_config": best_config,
+        "svm_grid_search": svm_grid_search,
     }
