@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # The most frequent terms are looked up from a broadcast table of at most this many rows. Any other term then holds
 # at most 1/HOT_TERMS of the rows, which an ordinary shuffle join spreads well.
 HOT_TERMS = 4096
+OWN_KEY = "\u0000"
 
 
 def lookup_terms(
@@ -30,11 +31,18 @@ def lookup_terms(
     rest = table.select(F.col(key).alias("_probe"), *[F.col(v).alias(f"_rest_{v}") for v in values])
     answered = F.col(f"_hot_{values[0]}").isNotNull() | F.col(key).isNull()
     # No term contains a control character, so these keys meet nothing.
-    own_key = F.concat(F.lit("\u0000"), scatter.cast("string"))
-    joined = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_probe", F.when(answered, own_key).otherwise(F.col(key)))
-        .join(rest, "_probe", "left")
-        .select(*rows.columns, *[F.coalesce(f"_hot_{v}", f"_rest_{v}").alias(v) for v in values])
+    own_key = F.concat(F.lit(OWN_KEY), scatter.cast("string"))
+    others = [c for c in rows.columns if c != key]
+    spread = rows.join(F.broadcast(hot), key, "left").select(
+        *others,
+        *[f"_hot_{v}" for v in values],
+        F.when(answered, own_key).otherwise(F.col(key)).alias("_probe"),
+        # The term itself travels once: as the key, or next to a key of its own.
+        F.when(answered, F.col(key)).alias("_answered"),
+    )
+    term = F.when(F.startswith("_probe", F.lit(OWN_KEY)), F.col("_answered")).otherwise(F.col("_probe"))
+    joined = spread.join(rest, "_probe", "left").select(
+        *[term.alias(key) if c == key else F.col(c) for c in rows.columns],
+        *[F.coalesce(f"_hot_{v}", f"_rest_{v}").alias(v) for v in values],
     )
     return joined.where(F.col(values[0]).isNotNull()) if how == "inner" else joined

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,9 +116,15 @@ def fit_naive_bayes(
         raise ValueError(f"unknown kind {kind!r}, expected one of {', '.join(KINDS)}")
     sizes = class_sizes(terms)
     classes, n_docs = list(sizes), sum(sizes.values())
-    words = with_idf(vocabulary(terms, n_docs, max_df, min_df, max_features), n_docs)
-    sums = class_weight_sums(tfidf_vectors(terms, words), classes)
-    stats = materialize(sums.join(words.select("term", "idf"), "term"))
+    # Vocabulary and vectors both read the terms, which cost more to make than to keep. Blocks that get lost with an
+    # executor are made again.
+    kept = terms.select("doc_id", "class", "terms").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        words = with_idf(vocabulary(kept, n_docs, max_df, min_df, max_features), n_docs)
+        sums = class_weight_sums(tfidf_vectors(kept, words), classes)
+        stats = materialize(sums.join(words.select("term", "idf"), "term"))
+    finally:
+        kept.unpersist()
     return model_from_sums(stats, sizes, kind, alpha)
 
 
