@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinia.operators.lookup import lookup_terms
+from opinia.operators.materialize import materialize
 from opinia.operators.prefix_sums import ordered_buckets, running_total
 from opinia.operators.terms import weight_rows
 
@@ -38,9 +39,9 @@ def weight_quantile_rows(vectors: DataFrame, n_docs: int, quantiles: list[float]
     lowest_share = 1 - max(quantiles)
     sizes = weight_rows(vectors).groupBy("term").agg(F.count("*").alias("n"))
     wide = sizes.where(F.col("n") > lowest_share * (n_docs - 1))
-    merged = (
-        weight_rows(vectors).groupBy("term", "w").agg(F.count("*").alias("times"))
-        .join(wide, "term")
+    # Written out, as numbering reads it several times.
+    merged = materialize(
+        weight_rows(vectors).groupBy("term", "w").agg(F.count("*").alias("times")).join(wide, "term")
     )
     placed = running_total(
         ordered_buckets(merged, "w"), ["w"], output="before", value=F.col("times"), by=["term"]

@@ -21,7 +21,7 @@ from opinia.operators import (
     selection,
     terms,
 )
-from opinia.plans import search
+from opinia.plans import search, training
 from opinia.plans.oracle import EMOJI_STAND_INS, GIVEN_WORDS, GRID
 from opinia.sources.readers import corpus, labelled, table, unlabelled
 from opinia.sources.writers import prediction_export
@@ -236,8 +236,7 @@ def stratified_folds(spark, folder):
 
 
 def _dev_terms_with_folds(spark: SparkSession, folder: str) -> DataFrame:
-    folds = evaluation.stratified_folds(labelled(spark, folder)).select("doc_id", "fold")
-    return _dev_terms(spark, folder).join(folds, "doc_id")
+    return training.prepare_folds(labelled(spark, folder), training.TextSettings(TokenizerConfig(), BOTH))
 
 
 def fold_idf(spark, folder):
