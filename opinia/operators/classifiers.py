@@ -3,12 +3,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -17,6 +18,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import IndexToString, MaxAbsScaler, MinMaxScaler, Normalizer, RobustScaler, StandardScaler
 from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,14 +73,50 @@ class ClassifierSettings:
         return self.svd_components is not None and self.classifier in BAYES
 
 
+def _arrays(df: DataFrame, column: str) -> DataFrame:
+    """A vector column as indices and values, the form neighbours and the squared-hinge fit read."""
+
+    @F.udf(returnType="struct<indices: array<int>, values: array<double>>", useArrow=True)
+    def parts(vector):
+        if isinstance(vector, SparseVector):
+            return vector.indices.tolist(), vector.values.tolist()
+        return list(range(len(vector))), vector.toArray().tolist()
+
+    kept = [c for c in ("doc_id", "class") if c in df.columns]
+    return df.select(*kept, parts(column).alias("_parts")).select(*kept, "_parts.*")
+
+
+class Hyperplane(Transformer):
+    """vector -> prediction: 1.0 on the positive side of the plane."""
+
+    def __init__(self, column: str, weights: np.ndarray, intercept: float):
+        super().__init__()
+        self.column, self.weights, self.intercept = column, weights, intercept
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        shared, intercept = dataset.sparkSession.sparkContext.broadcast(self.weights), self.intercept
+
+        @F.udf(returnType="double", useArrow=True)
+        def side(vector):
+            if isinstance(vector, SparseVector):
+                margin = vector.values @ shared.value[vector.indices]
+            else:
+                margin = vector.toArray() @ shared.value
+            return 1.0 if margin + intercept > 0 else 0.0
+
+        return dataset.withColumn("prediction", side(self.column))
+
+
 @dataclass
 class NeighbourModel:
+    """``rows`` turns doc_terms into doc_id, indices, values."""
+
     known: DataFrame
-    words: DataFrame
+    rows: Callable[[DataFrame], DataFrame]
     k: int
 
     def predict(self, terms: DataFrame) -> DataFrame:
-        return terms.drop("terms").join(knn_predict(sparse_rows(terms, self.words), self.known, self.k), "doc_id")
+        return terms.drop("terms").join(knn_predict(self.rows(terms), self.known, self.k), "doc_id")
 
 
 @dataclass
@@ -163,15 +201,15 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
         return naive_bayes.fit_naive_bayes(terms, BAYES[name], 1.0, *limits)
     if name == "knn" and plain:
         words = fit_vectoriser(terms, *limits)
-        return NeighbourModel(sparse_rows(terms, words), words, settings.neighbours)
+        return NeighbourModel(sparse_rows(terms, words), lambda t: sparse_rows(t, words), settings.neighbours)
 
     classes = list(naive_bayes.class_sizes(terms))
     if name in ("linearsvc", "sgd") and len(classes) != 2:
         raise ValueError(f"linear models need two classes, found {len(classes)}")
     words = fit_vectoriser(terms, *limits)
     size, n_docs = words.count(), terms.count()
+    options = dict(positive=classes[-1], C=settings.C, penalty=settings.penalty, tol=settings.tol)
     if name == "linearsvc" and settings.loss == "squared_hinge" and plain:
-        options = dict(positive=classes[1], C=settings.C, penalty=settings.penalty, tol=settings.tol)
         if size > DRIVER_WEIGHTS:
             weights, intercept = fit_squared_hinge_table(tfidf_vectors(terms, words), **options)
             table = words.select("term", "df", "idf").join(weights, "term")
@@ -189,15 +227,23 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
     elif settings.scaler != "none":
         stages.append(_scaler_stage(settings.scaler))
         column = "scaled"
-    if name == "knn" or (name == "linearsvc" and settings.loss == "squared_hinge"):
-        raise ValueError(f"{name} with this loss is not available on scaled or reduced features")
     # Iterative fits read the features many times.
     features = shrink_partitions(materialize(features), ROWS_PER_PARTITION)
-    indexer = StringIndexerModel.from_labels(classes, inputCol="class", outputCol="label")
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=classes)
+    if name == "knn" or (name == "linearsvc" and settings.loss == "squared_hinge"):
+        prepared = Pipeline(stages=stages).fit(features)
+        rows = _arrays(prepared.transform(features), column)
+        if name == "knn":
+            return NeighbourModel(
+                rows, lambda t: _arrays(prepared.transform(sparse_features(t, words, size)), column), settings.neighbours
+            )
+        width = size if settings.svd_components is None else min(settings.svd_components, size)
+        fitted = fit_squared_hinge(rows, width, **options)
+        plane = Hyperplane(column, fitted.weights, fitted.intercept)
+        return VectorModel(words, size, PipelineModel([*prepared.stages, plane, names]))
+    indexer = StringIndexerModel.from_labels(classes, inputCol="class", outputCol="label")
     fitted = Pipeline(stages=[*stages, _estimator(settings, column, n_docs)]).fit(indexer.transform(features))
-    fitted = Pipeline(stages=[*fitted.stages, names]).fit(features)
-    return VectorModel(words, size, fitted)
+    return VectorModel(words, size, PipelineModel([*fitted.stages, names]))
 
 
 def _weight_table(words: DataFrame, weights: np.ndarray) -> DataFrame:

@@ -151,6 +151,9 @@ def test_squared_hinge_as_a_table_reaches_the_same_minimum(spark, sparse):
         ClassifierSettings("knn", min_df=1),
         ClassifierSettings("complementnb", scaler="maxabs"),
         ClassifierSettings("sgd", svd_components=4, max_iter=15),
+        ClassifierSettings("knn", scaler="standard", min_df=1),
+        ClassifierSettings("linearsvc", C=3.0, svd_components=4),
+        ClassifierSettings("linearsvc", C=3.0, scaler="robust"),
     ],
     ids=lambda s: f"{s.classifier}-{s.loss}-{s.scaler}-{s.svd_components}",
 )
