@@ -21,6 +21,7 @@ from opinia.operators import (
     selection,
     terms,
 )
+from opinia.operators.materialize import materialize
 from opinia.plans import search, training
 from opinia.plans.oracle import EMOJI_STAND_INS, GIVEN_WORDS, GRID
 from opinia.sources.readers import corpus, labelled, table, unlabelled
@@ -188,7 +189,8 @@ def _classifier(**settings) -> Query:
     """Fit on the labelled texts, predict the others."""
 
     def query(spark, folder):
-        fitted = classifiers.fit_classifier(_dev_terms(spark, folder), classifiers.ClassifierSettings(**settings))
+        known = materialize(_dev_terms(spark, folder))
+        fitted = classifiers.fit_classifier(known, classifiers.ClassifierSettings(**settings))
         return fitted.predict(_eva_terms(spark, folder)).select("doc_id", "predicted")
 
     return query
@@ -215,7 +217,7 @@ def pca_features(spark, folder):
 
 def feature_importances(spark, folder):
     settings = classifiers.ClassifierSettings("randomforest", min_df=5, trees=20, max_depth=10)
-    forest = classifiers.fit_classifier(_dev_terms(spark, folder, (1, 1)), settings)
+    forest = classifiers.fit_classifier(materialize(_dev_terms(spark, folder, (1, 1))), settings)
     return classifiers.feature_importances(forest, 30)
 
 
