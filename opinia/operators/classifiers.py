@@ -16,14 +16,13 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IndexToString, MaxAbsScaler, MinMaxScaler, Normalizer, RobustScaler, StandardScaler
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import IndexToString, Normalizer, StringIndexerModel
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinia.operators import naive_bayes
-from opinia.operators.features import fit_vectoriser, sparse_features, sparse_rows
+from opinia.operators.features import fit_vectoriser, sparse_features, sparse_rows, with_scaling
 from opinia.operators.linear import DRIVER_WEIGHTS, fit_squared_hinge, fit_squared_hinge_table
 from opinia.operators.lookup import lookup_terms
 from opinia.operators.materialize import materialize, shrink_partitions
@@ -155,17 +154,6 @@ class VectorModel:
         return scored.select(*kept, "predicted")
 
 
-def _scaler_stage(name: str):
-    # None of them centres, so zeros stay zeros.
-    if name == "standard":
-        return StandardScaler(inputCol="features", outputCol="scaled", withMean=False)
-    if name == "minmax":
-        return MinMaxScaler(inputCol="features", outputCol="scaled")
-    if name == "maxabs":
-        return MaxAbsScaler(inputCol="features", outputCol="scaled")
-    return RobustScaler(inputCol="features", outputCol="scaled")
-
-
 def _estimator(settings: ClassifierSettings, features: str, n_docs: int):
     columns = {"featuresCol": features, "labelCol": "label", "predictionCol": "prediction"}
     name = settings.classifier
@@ -218,15 +206,14 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
             table, intercept = _weight_table(words, fitted.weights), fitted.intercept
         return WeightModel(table, intercept, *classes)
 
+    if settings.scaler != "none" and settings.svd_components is None:
+        words = with_scaling(words, terms, settings.scaler, n_docs)
     features = sparse_features(terms, words, size)
     stages, column = [], "features"
     if settings.svd_components is not None:
         # Replaces the scaler.
         stages += [fit_svd(features, settings.svd_components, size), Normalizer(p=2.0, inputCol="reduced", outputCol="unit")]
         column = "unit"
-    elif settings.scaler != "none":
-        stages.append(_scaler_stage(settings.scaler))
-        column = "scaled"
     # Iterative fits read the features many times.
     features = shrink_partitions(materialize(features), ROWS_PER_PARTITION)
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=classes)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opinia.operators.materialize import materialize
 from opinia.operators.prefix_sums import hash_buckets, running_total
+from opinia.operators.scaling import scaling_factors
 from opinia.operators.terms import tfidf_vectors, vocabulary, with_idf
 
 
@@ -24,8 +25,16 @@ def fit_vectoriser(
     return numbered_vocabulary(with_idf(vocabulary(terms, n_docs, max_df, min_df, max_features), n_docs))
 
 
+def with_scaling(words: DataFrame, terms: DataFrame, scaler: str, n_docs: int) -> DataFrame:
+    """The vocabulary with the factors of a scaler fitted on the training documents; vectors then come out scaled,
+    and stay sparse."""
+    factors = scaling_factors(tfidf_vectors(terms, words), scaler, n_docs).select("term", "scale", "shift")
+    return materialize(words.join(factors, "term"))
+
+
 def sparse_rows(terms: DataFrame, words: DataFrame) -> DataFrame:
-    """doc_terms -> (doc_id, ..., indices array<int>, values array<double>), unit length, indices ascending."""
+    """doc_terms -> (doc_id, ..., indices array<int>, values array<double>), indices ascending. Unit length unless the
+    vocabulary scales."""
     vectors = tfidf_vectors(terms, words, name="idx")
     kept = [c for c in vectors.columns if c != "weights"]
     ordered = vectors.select(*kept, F.sort_array("weights").alias("weights"))

@@ -187,3 +187,11 @@ def test_bad_names():
         with pytest.raises(ValueError):
             ClassifierSettings(**bad)
     assert ClassifierSettings("complementnb", svd_components=10).skipped
+
+
+def test_scaled_features_stay_sparse(counted, sparse):
+    words, size, rows = sparse
+    x, _ = as_matrix(sparse)
+    scaled = features.with_scaling(words, counted, "standard", 30)
+    got, _ = as_matrix((scaled, size, features.sparse_rows(counted, scaled)))
+    np.testing.assert_allclose(got, x / x.std(0))
