@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 from pyspark.ml import Transformer
 from pyspark.ml.feature import PCA

@@ -3,7 +3,6 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from opinia.operators import explore
 

@@ -4,9 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import CLASSES, REVIEWS
 
-from opinia.functions.text import TokenizerConfig
 from opinia.operators import classifiers, features, linear, naive_bayes, neighbours, reduction, terms
 from opinia.operators.classifiers import ClassifierSettings
 

@@ -1,5 +1,3 @@
-import pytest
-
 from opinia.functions.stemming import stem_words
 from opinia.functions.stop_words import stop_word_list, stop_words_frame
 from opinia.functions.text import LEGACY, TokenizerConfig, ngrams
