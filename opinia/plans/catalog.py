@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinia.functions.fixed_values import EMOJI_STAND_INS
 from opinia.functions.stop_words import stop_words_frame
 from opinia.functions.text import LEGACY, TokenizerConfig
 from opinia.operators import (
@@ -23,7 +24,7 @@ from opinia.operators import (
 )
 from opinia.operators.materialize import materialize
 from opinia.plans import search, training
-from opinia.plans.oracle import EMOJI_STAND_INS, GIVEN_WORDS, GRID
+from opinia.plans.parameters import GIVEN_WORDS, GRID
 from opinia.sources.readers import corpus, labelled, table, unlabelled
 from opinia.sources.writers import prediction_export
 

@@ -2,25 +2,12 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
 from opinia.functions import fixed_values as fixed
+from opinia.plans.parameters import GIVEN_WORDS, GRID
 
 K = 10
 
 
-def _base_stop_words(language: str = "italian") -> list[str]:
-    """Spark's own list, read from the jar that pyspark ships, so that no session is needed to write SQL."""
-    import pyspark
-
-    (jar,) = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return [w for w in text.split("\n") if w]
-
-
 def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -29,7 +16,7 @@ def _in(words) -> str:
     return "(" + ", ".join(_literal(w) for w in sorted(words)) + ")"
 
 
-STOP_WORDS = set(_base_stop_words()) | set(fixed.CUSTOM_STOP_WORDS)
+STOP_WORDS = set(fixed.BASE_STOP_WORDS) | set(fixed.CUSTOM_STOP_WORDS)
 KEPT_STOP_WORDS = STOP_WORDS - set(fixed.KEPT_WORDS)
 
 STRIP = _literal(f"^{fixed.STRIPPED_SPACE}+|{fixed.STRIPPED_SPACE}+$")
@@ -259,12 +246,8 @@ grow AS (
   WHERE n >= (SELECT least_n FROM least_))
 SELECT items, count(*) AS freq, round(count(*) / (SELECT n FROM least_), 6) AS support FROM grow GROUP BY items"""
 
-# Words of the fixtures that stand in for emoji, as the texts hold none.
-EMOJI_STAND_INS = [(" le ", " 👍 "), (" que ", " 👏🏻 "), (" der ", " 👎 "), (" the ", " 😂 "), (" de ", " 😡😍 "), (" et ", " 🚀 ")]
-
-
 def with_emoji_sql(text: str = "text") -> str:
-    for word, emoji in EMOJI_STAND_INS:
+    for word, emoji in fixed.EMOJI_STAND_INS:
         text = f"replace({text}, {_literal(word)}, {_literal(emoji)})"
     return text
 
@@ -283,8 +266,6 @@ SELECT e.kind, e.position::INTEGER AS position, e.emoji,
 FROM e CROSS JOIN t GROUP BY e.kind, e.position, e.emoji"""
 
 
-GIVEN_WORDS = ["non", "que", "zzz", "ma", "the", "und"]
-
 WORDS = f"wd AS (SELECT doc_id, class, unnest(list_distinct({_tokens()})) AS word FROM dev)"
 
 
@@ -299,9 +280,6 @@ def _grid(rows: list[tuple[str, float, int]]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-GRID = [(kind, max_df, min_df) for kind in ("complement", "multinomial") for max_df in (0.5,) for min_df in (1, 2)]
-
-
 def oracle_sql() -> dict[str, str]:
     return {
         "class_counts": f"""WITH {DEV}
