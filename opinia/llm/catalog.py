@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinia.llm import bpe, packing
+from opinia.llm import bpe, language, merkle, packing, quality, simhash, urls
 from opinia.llm.storage import documents, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,18 +19,54 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+# The rules that op9 applies: (host, path, verdict).
+URL_RULES = [
+    ("com", "/", urls.ALLOW),
+    ("example.com", "/en/", urls.BLOCK),
+    ("www.example.com", "/en/", urls.ALLOW),
+    ("net", "/es/", urls.BLOCK),
+    ("net", "/fr/", urls.BLOCK),
+]
+
+
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_report(documents(spark, folder))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), vocabulary())
 
 
+def op5_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.edited_fingerprints(documents(spark, folder))
+
+
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_predictions(documents(spark, folder))
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.code_digests(documents(spark, folder).select("doc_id", "text"), vocabulary())
 
 
+def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(pages(spark, folder), rules)
+
+
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality": op1_quality,
         "op4_packing": op4_packing,
+        "op5_merkle": op5_merkle,
+        "op7_language": op7_language,
         "op8_bpe": op8_bpe,
+        "op9_urls": op9_urls,
+        "op10_simhash": op10_simhash,
     }
 
 

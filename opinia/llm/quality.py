@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
 Every rule says when a text fails. On a bounded sample each rule is timed and its rejections are counted; rules then run
-in falling order of rejections per second, as one CASE expression: a text that one rule rejects is not looked at by the
+in falling order of rejections per second, as branches of a CASE: a text that one rule rejects is not looked at by the
 rules after it, so an expensive rule sees only what the cheap ones let through. The order changes the cost alone. A text
 is kept if no rule rejects it, in whatever order, so results are the same on every run.
 
@@ -42,11 +42,16 @@ def _removed(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _windows(words: Column, width: int = WINDOW) -> Column:
     """A hash of each run of ``width`` words, in order."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
     starts = F.sequence(F.lit(1), F.size(words) - (width - 1))
-    runs = F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, width)))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    runs = _let(hashes, lambda all_: F.transform(starts, lambda i: F.xxhash64(F.slice(all_, i, width))))
     return F.when(F.size(words) >= width, runs).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -58,18 +63,16 @@ def _covered(windows: Column, width: int = WINDOW) -> Column:
         beside = lambda k: F.get(all_, k)["h"]  # noqa: E731  null beyond the ends
         return F.filter(all_, lambda x, k: F.coalesce(x["h"] == beside(k - 1), F.lit(False)) | F.coalesce(x["h"] == beside(k + 1), F.lit(False)))
 
-    # A let-binding: the inner expression sees the sorted array once, not once per use.
-    let = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
-    starts = let(placed, lambda all_: F.array_sort(F.transform(repeated(all_), lambda x: x["i"])))
-    total = let(
-        starts,
-        lambda s: F.aggregate(
-            s,
+    def covered(starts: Column) -> Column:
+        return F.aggregate(
+            starts,
             F.struct(F.lit(0).cast("long").alias("n"), F.lit(-width).alias("last")),
             lambda acc, i: F.struct((acc["n"] + F.least(F.lit(width), i - acc["last"])).alias("n"), i.alias("last")),
             lambda acc: acc["n"],
-        ),
-    )
+        )
+
+    starts = _let(placed, lambda all_: F.array_sort(F.transform(repeated(all_), lambda x: x["i"])))
+    total = _let(starts, covered)
     return F.when(F.size(windows) == F.size(F.array_distinct(windows)), F.lit(0).cast("long")).otherwise(total)
 
 
@@ -101,15 +104,16 @@ FEATURES: dict[str, Callable[[Column, Column, Column], Column]] = {
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` gets a function that gives a feature's Column by name."""
+    """``fails`` gets a function that gives a feature's Column by name. ``windows``: it needs the window hashes."""
 
     name: str
     fails: Callable[[Lookup], Column]
+    windows: bool = False
 
 
 BASE_RULES = [
     Rule("too_short", lambda f: f("n_words") < LEAST_WORDS),
-    Rule("repeated_windows", lambda f: 100 * f("n_repeat_words") > 30 * f("n_words")),
+    Rule("repeated_windows", lambda f: 100 * f("n_repeat_words") > 30 * f("n_words"), windows=True),
 ]
 MORE_RULES = [
     Rule("symbols", lambda f: 10 * f("n_symbols") > 3 * f("n_words")),
@@ -129,38 +133,55 @@ def prepared(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def lazily(name: str) -> Column:
     """A feature computed on the spot, inside the branch of the rule that asks for it."""
-    words = F.col("_words")
-    return FEATURES[name](F.col("_text"), words, _windows(words) if name == "n_repeat_words" else words)
+    return FEATURES[name](F.col("_text"), F.col("_words"), F.col("_windows"))
 
 
 def ordered(docs: DataFrame, rules: list[Rule] = RULES, rows: int = SAMPLE_ROWS) -> list[Rule]:
     """The rules in falling order of rejections per second, both taken from a sample of at most ``rows`` rows."""
     sample = written(docs.select("text").limit(rows))
 
-    def seconds(fails: Column) -> tuple[float, int]:
+    def seconds(fails: Column, windows: bool = False) -> tuple[float, int]:
+        staged = prepared(sample)
+        if windows:
+            staged = staged.withColumn("_windows", _windows(F.col("_words")))
         start = time.perf_counter()
-        rejected = prepared(sample).agg(F.count_if(fails)).first()[0]
+        rejected = staged.agg(F.count_if(fails)).first()[0]
         return time.perf_counter() - start, rejected
 
     idle = min(seconds(F.size("_words") < 0)[0] for _ in range(2))
     rates = {}
     for rule in rules:
-        spent, rejected = seconds(rule.fails(lazily))
+        spent, rejected = seconds(rule.fails(lazily), rule.windows)
         rates[rule.name] = rejected / max(spent - idle, LEAST_SECONDS)
     return sorted(rules, key=lambda r: (-rates[r.name], r.name))
 
 
-def rejected_by(rules: list[Rule], feature: Lookup = lazily) -> Column:
-    """The first rule that rejects a text, or null: one CASE, which ends at the first branch that holds."""
-    verdict = F
-    for rule in rules:
-        verdict = verdict.when(rule.fails(feature), F.lit(rule.name))
-    return verdict
+def cascade(staged: DataFrame, order: list[Rule], feature: Lookup = lazily) -> DataFrame:
+    """Add ``_rejected``, the first rule of ``order`` that rejects a text, or null.
+
+    Rules are branches of a CASE, which ends at the first that holds. Window hashes are made right before the first rule
+    that needs them, for the texts that are still in, unless they are there already.
+    """
+    staged = staged.withColumn("_rejected", F.lit(None).cast("string"))
+    waiting: list[Rule] = []
+
+    def judged(df: DataFrame) -> DataFrame:
+        verdict = F.when(F.col("_rejected").isNotNull(), F.col("_rejected"))
+        for rule in waiting:
+            verdict = verdict.when(rule.fails(feature), F.lit(rule.name))
+        return df.withColumn("_rejected", verdict)
+
+    for rule in order:
+        if rule.windows and "_windows" not in staged.columns:
+            staged, waiting = judged(staged), []
+            staged = staged.withColumn("_windows", F.when(F.col("_rejected").isNull(), _windows(F.col("_words"))))
+        waiting.append(rule)
+    return judged(staged)
 
 
 def accepted(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """The rows that no rule rejects, as they are."""
-    judged = prepared(docs).withColumn("_rejected", rejected_by(ordered(docs, rules)))
+    judged = cascade(prepared(docs), ordered(docs, rules))
     return judged.where("_rejected is null").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -178,6 +199,6 @@ def quality_report(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     failed = F.lit(False)
     for rule in BASE_RULES:
         failed = failed | rule.fails(feature)
-    return staged.select(
-        "doc_id", *base, failed.alias("base_failed"), rejected_by(order, feature).isNull().alias("kept")
+    return cascade(staged, order, feature).select(
+        "doc_id", *base, failed.alias("base_failed"), F.col("_rejected").isNull().alias("kept")
     )
