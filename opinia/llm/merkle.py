@@ -21,6 +21,7 @@ from opinia.llm.storage import partitions, written
 from opinia.operators.prefix_sums import BUCKETS, ordered_buckets
 
 NODE = 12
+NO_ID = -(2**63)
 # Behind a line break; behind the space that follows the end of a sentence.
 SECTION_END = r"(?<=\n)"
 PARAGRAPH_END = r"(?<=[.!?] )"
@@ -74,60 +75,60 @@ def edited_sections(old: Column, new: Column) -> Column:
     return F.when(root(old) == root(new), F.array().cast("array<int>")).otherwise(F.array_compact(changed))
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """(at, own, text): a null doc_id stands before all others; ``own`` is a hash of the text."""
+    return docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("at"), F.xxhash64("text").alias("own"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, own, n_chars, next): links from each document to the next by doc_id, the last one's to the first.
+    """(at, own, n_chars, next): links from each document to the next by doc_id, the last one's to the first.
 
-    Works on ids and a hash of the text alone. ``own`` is the hash, which orders rows that share a
-    doc_id; rows equal in both count once. A null doc_id comes first.
+    Works on ids and hashes of texts alone. The hashes order rows that share a doc_id; rows equal in both count once.
     """
-    ids = written(docs.select("doc_id", F.xxhash64("text").alias("own"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars")).distinct())
-    least = F.coalesce("doc_id", F.lit(-(2**63)))
-    ids = ids.withColumn("at", least)
-    bucketed = written(ordered_buckets(ids, "at", buckets=min(BUCKETS, 4 * partitions(docs.sparkSession))))
-    row = F.struct("doc_id", "own", "n_chars")
+    ids = keyed(docs).select("at", "own", F.length("text").cast("long").alias("n_chars")).distinct()
+    bucketed = written(ordered_buckets(written(ids), "at", buckets=min(BUCKETS, 4 * partitions(docs.sparkSession))))
+    row = F.struct("at", "own")
     inside = Window.partitionBy("_bucket").orderBy("at", "own")
     # One row per bucket, at most some thousands: its first row is what follows the bucket before.
-    firsts = bucketed.groupBy("_bucket").agg(F.min_by(row, F.struct("at", "own")).alias("first"))
+    firsts = bucketed.groupBy("_bucket").agg(F.min(row).alias("first"))
     order = Window.orderBy("_bucket")
     around = F.first("first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     follows = firsts.select("_bucket", F.coalesce(F.lead("first").over(order), around).alias("follows"))
     linked = bucketed.withColumn("next", F.lead(row).over(inside)).join(F.broadcast(follows), "_bucket")
-    return linked.select("doc_id", "own", "n_chars", F.coalesce("next", "follows").alias("next"))
+    return linked.select("at", "own", "n_chars", F.coalesce("next", "follows").alias("next"))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_edited_sections).
 
     The edited text has its last quarter replaced by as much of the start of the next document. Whole texts are shuffled
     once, by doc_id; after that only the starts wanted and fingerprints travel.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("own"))
     links = written(with_next(docs))
+    # What the document before asks of each document.
     wanted = links.select(
-        F.col("next.doc_id").alias("l_id"),
-        F.col("next.own").alias("l_own"),
-        F.col("doc_id").alias("before_id"),
-        F.col("own").alias("before_own"),
-        F.floor(F.col("n_chars") / 4).alias("wanted"),
+        F.col("next.at").alias("at"),
+        F.col("next.own").alias("own"),
+        F.struct("at", "own").alias("before"),
+        F.floor(F.col("n_chars") / 4).cast("int").alias("wanted"),
     )
-    met = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("own") == F.col("l_own")))
+    met = keyed(docs).join(wanted, ["at", "own"])
     # Rows that repeat doc_id and text count once.
-    once = F.row_number().over(Window.partitionBy("doc_id", "own").orderBy("before_id"))
-    met = met.withColumn("place", once).where("place = 1").select(
-        "doc_id", "own", "text", F.length("text").cast("long").alias("n_chars"), "before_id", "before_own", "wanted", fingerprint(F.col("text")).alias("fingerprint")
-    )
+    once = F.row_number().over(Window.partitionBy("at", "own").orderBy("before"))
+    met = met.withColumn("place", once).where("place = 1")
+    # Both ends of a link use the same columns of the same exchange, so texts travel once.
     starts = met.select(
-        F.col("before_id").alias("s_id"),
-        F.col("before_own").alias("s_own"),
-        F.substring(F.col("text"), F.lit(1), F.col("wanted").cast("int")).alias("start"),
-        F.col("fingerprint").alias("next_fingerprint"),
+        F.col("before.at").alias("at"),
+        F.col("before.own").alias("own"),
+        F.substring(F.col("text"), F.lit(1), F.col("wanted")).alias("start"),
+        fingerprint(F.col("text")).alias("next_fingerprint"),
     )
-    ends = met.select("doc_id", "own", "text", "n_chars", "fingerprint")
-    pairs = ends.join(starts, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("own") == F.col("s_own")))
+    ends = met.select("at", "own", "text", F.length("text").cast("long").alias("n_chars"), fingerprint(F.col("text")).alias("fingerprint"))
+    pairs = ends.join(starts, ["at", "own"])
     quarter = F.floor(F.col("n_chars") / 4)
     kept = F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - quarter).cast("int"))
     edited = pairs.withColumn("edited", F.concat(kept, "start")).select(
-        "doc_id",
+        F.when(F.col("at") != NO_ID, F.col("at")).alias("doc_id"),
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint",
