@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinia.llm import bpe, language, merkle, packing, quality, simhash, urls
+from opinia.llm import bpe, html, language, merkle, packing, pii, quality, secret_scan, simhash, urls
 from opinia.llm.storage import documents, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,14 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(documents(spark, folder))
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(documents(spark, folder))
+
+
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(pages(spark, folder))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder), vocabulary())
 
@@ -41,6 +49,10 @@ def op5_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.edited_fingerprints(documents(spark, folder))
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, folder))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language_predictions(documents(spark, folder))
 
@@ -61,8 +73,11 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
+        "op2_pii": op2_pii,
+        "op3_html": op3_html,
         "op4_packing": op4_packing,
         "op5_merkle": op5_merkle,
+        "op6_secrets": op6_secrets,
         "op7_language": op7_language,
         "op8_bpe": op8_bpe,
         "op9_urls": op9_urls,

@@ -94,6 +94,8 @@ def anchored(distinct: DataFrame) -> DataFrame:
             for half in (0, 1):
                 values = (fps >> (32 * half)) & ((1 << ANCHOR_BITS) - 1)
                 for rows, anchors, home in anchors_near(values):
+                    if not len(rows):
+                        continue
                     yield pd.DataFrame({"anchor": anchors | (half << ANCHOR_BITS), "fp": fps[rows], "home": home})
 
     return distinct.select("fp").mapInPandas(copies, "anchor long, fp long, home boolean")
