@@ -41,9 +41,9 @@ def fingerprint(text: Column) -> Column:
 
 def paragraphs_to_tree(paragraphs: Column) -> Column:
     branches = F.transform(paragraphs, lambda nodes: F.concat(_node(nodes), F.lit("="), nodes))
-    joined = F.array_join(branches, ";")
-    # The root covers every node below it.
-    return F.concat(F.sha2(joined, 256), F.lit(";"), joined)
+    # The root covers every node below it; the list is made once and used twice.
+    whole = F.transform(F.array(F.array_join(branches, ";")), lambda joined: F.concat(F.sha2(joined, 256), F.lit(";"), joined))
+    return F.element_at(whole, 1)
 
 
 def root(tree: Column) -> Column:
@@ -61,18 +61,26 @@ def paragraph_nodes(tree: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(nodes, F.lit(f"([0-9a-f]{{{NODE}}})"), 1))
 
 
+def nodes_likeness(one: Column, two: Column, nodes_of_one: Column, nodes_of_two: Column) -> Column:
+    """``likeness`` of two fingerprints whose paragraph nodes are at hand."""
+    common = F.size(F.array_intersect(nodes_of_one, nodes_of_two))
+    return F.when(root(one) == root(two), 1.0).otherwise(common / (F.size(nodes_of_one) + F.size(nodes_of_two) - common))
+
+
 def likeness(one: Column, two: Column) -> Column:
-    """0 to 1. Whole fingerprints are compared only if their roots differ."""
-    a, b = paragraph_nodes(one), paragraph_nodes(two)
-    common = F.size(F.array_intersect(a, b))
-    return F.when(root(one) == root(two), 1.0).otherwise(common / (F.size(a) + F.size(b) - common))
+    """0 to 1, 1 for equal roots."""
+    return nodes_likeness(one, two, paragraph_nodes(one), paragraph_nodes(two))
+
 
+def edited_branches(old: Column, new: Column) -> Column:
+    """The sections of ``new`` that ``old`` does not have, as branches; none is looked at if the roots are equal."""
+    changed = F.array_except(branches(new), branches(old))
+    return F.when(root(old) == root(new), F.array().cast("array<string>")).otherwise(changed)
 
-def edited_sections(old: Column, new: Column) -> Column:
-    """Positions, from 0, of the sections of ``new`` that are not in ``old``; none is looked at if the roots are equal."""
-    known = branches(old)
-    changed = F.transform(branches(new), lambda s, i: F.when(~F.array_contains(known, s), i))
-    return F.when(root(old) == root(new), F.array().cast("array<int>")).otherwise(F.array_compact(changed))
+
+def edited_paragraphs(old: Column, new: Column) -> Column:
+    """The paragraph nodes of ``new`` that ``old`` does not have."""
+    return F.array_except(paragraph_nodes(new), paragraph_nodes(old))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -135,13 +143,19 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         fingerprint(F.col("edited")).alias("edited_fingerprint"),
         "next_fingerprint",
     )
-    return edited.select(
+    # Nodes are taken apart once per fingerprint.
+    taken_apart = edited.withColumns({f"_{c}": paragraph_nodes(F.col(c)) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint")})
+
+    def near(other: str) -> Column:
+        return nodes_likeness(F.col("fingerprint"), F.col(other), F.col("_fingerprint"), F.col(f"_{other}"))
+
+    return taken_apart.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
-        F.size(edited_sections(F.col("fingerprint"), F.col("edited_fingerprint"))).cast("long").alias("n_edited_sections"),
+        near("edited_fingerprint").alias("near_edited"),
+        near("next_fingerprint").alias("near_next"),
+        F.size(edited_branches(F.col("fingerprint"), F.col("edited_fingerprint"))).cast("long").alias("n_edited_sections"),
     )
