@@ -11,13 +11,12 @@ look-ups per byte in numpy, over blocks of bounded size. The table's size is bou
 at most ``SAMPLE`` labelled documents of each language, those with the smallest hashes of doc_id, each read whole.
 
 Null text and text without a letter are ``und`` with score 0, as is everything if nothing was learned. Rows without a
-doc_id are neither held out nor learned from. Labels that are null teach nothing. Input columns called like outputs are
-not carried along.
+doc_id are neither held out nor learned from. Labels that are null teach nothing. Without usable labels nothing is learned.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinia.llm.storage import whole_row
+
 ORDER = 3
 SAMPLE = 400
 # Contexts seen less often in all languages together are left to the next shorter one.
@@ -102,6 +103,8 @@ class CodeTable:
 
 def code_table(counts: pd.DataFrame, order: int = ORDER, least: int = LEAST_SEEN) -> CodeTable:
     """The frozen trees as one table."""
+    if counts.empty:
+        return CodeTable([], np.zeros(256, np.int64), np.zeros(1, np.int64), np.zeros((1, 0), np.float32), order)
     languages = sorted(counts["lang"].unique())
     lang = counts["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64)
     size, gram, n = (counts[c].to_numpy(np.int64) for c in ("size", "gram", "n"))
@@ -150,8 +153,8 @@ def learn(docs: DataFrame, size: int = SAMPLE) -> CodeTable:
     return code_table(context_counts(sampled(docs, size)).toPandas())
 
 
-def identify(docs: DataFrame, table: CodeTable, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(kept columns, lang_pred, score)."""
+def predictor(docs: DataFrame, table: CodeTable) -> Callable[[str], F.Column]:
+    """A function that makes struct<lang_pred, score> of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -160,19 +163,17 @@ def identify(docs: DataFrame, table: CodeTable, text: str = "text", keep: list[s
         for batch in batches:
             yield pd.DataFrame([own.predict(t) for t in batch], columns=["lang_pred", "score"])
 
-    keep = ["doc_id"] if keep is None else keep
-    found = docs.select(*[F.col(f"`{c}`") for c in keep], predict(F.col(text)).alias("_found"))
-    return found.select(*[F.col(f"`{c}`") for c in keep], "_found.*")
+    return lambda text: predict(F.col(text))
 
 
 def language_predictions(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document, learned from those that are not held out."""
-    found = identify(docs, learn(docs))
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    found = docs.select("doc_id", predictor(docs, learn(docs))("text").alias("found"))
+    return found.select("doc_id", held_out().alias("held_out"), "found.lang_pred", "found.score")
 
 
 def with_known_language(docs: DataFrame) -> DataFrame:
     """The rows whose language is clear: not ``und``, and at least ``LEAST_SCORE`` sure."""
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = identify(docs, learn(docs), keep=kept)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*kept)
+    found = docs.select(whole_row(docs), predictor(docs, learn(docs))("text").alias("found"))
+    sure = (F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= LEAST_SCORE)
+    return found.where(sure).select("_row.*")

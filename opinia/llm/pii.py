@@ -23,14 +23,14 @@ import hashlib
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinia.llm.storage import written
+from opinia.llm.storage import whole_row, written
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
@@ -133,8 +133,8 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, frequency: str, total:
     return by_few.unionByName(rest)
 
 
-def detected(docs: DataFrame) -> DataFrame:
-    """All columns and ``_found``: spans, hash of the text and entities; hash and entities are null where nothing is found."""
+def detector() -> Callable[[str], F.Column]:
+    """A function that makes struct<spans, hash, entities> of a text column; the last two are null where nothing is found."""
     schema = f"spans {SPANS}, hash string, entities array<string>"
 
     @F.pandas_udf(schema)
@@ -151,7 +151,7 @@ def detected(docs: DataFrame) -> DataFrame:
                     rows.append((named, None, None))
             yield pd.DataFrame(rows, columns=["spans", "hash", "entities"])
 
-    return docs.withColumn("_found", detect(F.col("text")))
+    return lambda text: detect(F.col(text))
 
 
 def likely_terms(terms: DataFrame) -> np.ndarray:
@@ -259,27 +259,25 @@ def disclosing_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     return risky.join(told, "hash").select("hash", "copies", places("text", "spans", "told").alias("added"))
 
 
-def _with_added(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """``carried`` columns, ``spans`` and ``added`` of all rows; rows without an entity are not shuffled."""
-    seen = written(detected(docs).select(
-        *[F.col(f"`{c}`") for c in carried], F.col("_found.spans").alias("_spans"), F.col("_found.hash").alias("_hash"),
-        F.col("_found.entities").alias("_entities"), F.when(F.col("_found.hash").isNotNull(), F.col("text")).alias("_text"),
-    ))
-    own = [F.col(f"`{c}`") for c in carried]
-    rows = seen.where("_hash is not null")
-    found = rows.select(F.col("_text").alias("text"), F.col("_hash").alias("hash"), F.col("_spans").alias("spans"), F.col("_entities").alias("entities"))
-    added = written(disclosing_spans(docs, found)).withColumnRenamed("hash", "_hash")
+def _with_added(docs: DataFrame, row: F.Column) -> DataFrame:
+    """``row``, ``spans`` and ``added`` of all rows; rows without an entity are not shuffled."""
+    seen = docs.select(row.alias("row"), "text", detector()("text").alias("found"))
+    has_entity = F.col("found.hash").isNotNull()
+    seen = written(seen.select("row", "found.*", F.when(has_entity, F.col("text")).alias("text")))
+    rows = seen.where("hash is not null")
+    added = written(disclosing_spans(docs, rows.select("text", "hash", "spans", "entities")))
     nothing = F.array().cast(SPANS)
-    plain = seen.where("_hash is null").select(*own, "_spans", nothing.alias("_added"))
+    plain = seen.where("hash is null").select("row", "spans", nothing.alias("added"))
+    # Texts that make up 1/1024 of these rows: at most that many.
     hot = F.broadcast(added.where(F.col("copies") * HOT_SHARE >= rows.count()))
-    by_hot = rows.join(hot, "_hash").select(*own, "_spans", F.col("added").alias("_added"))
-    rest = rows.join(hot.select("_hash"), "_hash", "left_anti").join(added.select("_hash", "added"), "_hash", "left")
-    return plain.unionByName(by_hot).unionByName(rest.select(*own, "_spans", F.coalesce("added", nothing).alias("_added")))
+    by_hot = rows.join(hot, "hash").select("row", "spans", "added")
+    rest = rows.join(hot.select("hash"), "hash", "left_anti").join(added.select("hash", "added"), "hash", "left")
+    return plain.unionByName(by_hot).unionByName(rest.select("row", "spans", F.coalesce("added", nothing).alias("added")))
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term) of every document."""
-    found = _with_added(docs, ["doc_id"])
+    found = _with_added(docs, F.col("doc_id"))
 
     def named(spans: F.Column) -> F.Column:
         kind = lambda s: F.when(s["kind"] == "gone", TERM_KIND).otherwise(s["kind"])
@@ -289,18 +287,18 @@ def personal_data(docs: DataFrame) -> DataFrame:
 
     counts = [_count_of(kind) for kind in KINDS]
     return found.select(
-        "doc_id", *counts, F.sha2(named(F.col("_spans")), 256).alias("base_sha256"),
-        named(F.concat("_spans", "_added")).alias("spans"), F.size("_added").cast("long").alias("n_term"),
+        F.col("row").alias("doc_id"), *counts, F.sha2(named(F.col("spans")), 256).alias("base_sha256"),
+        named(F.concat("spans", "added")).alias("spans"), F.size("added").cast("long").alias("n_term"),
     )
 
 
 def _count_of(kind: str) -> F.Column:
-    return F.size(F.filter("_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
 def without_personal_data(docs: DataFrame) -> DataFrame:
     """The rows with entities and disclosing terms replaced in ``text``, and ``n_chars`` set to the new length."""
-    found = _with_added(docs, docs.columns)
+    found = _with_added(docs, whole_row(docs))
 
     @F.pandas_udf("string")
     def cleaned(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -310,8 +308,9 @@ def without_personal_data(docs: DataFrame) -> DataFrame:
                 for x, a, b in zip(text, spans, added)
             ], dtype=object)
 
-    changed = found.withColumn("text", cleaned("text", "_spans", "_added"))
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
-        changed = changed.withColumn("n_chars", F.when(F.size("_spans") + F.size("_added") > 0, length).otherwise(F.col("n_chars")))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    changed = found.select("row", "spans", "added", cleaned(F.col("row.text"), F.col("spans"), F.col("added")).alias("text"))
+    touched = F.size("spans") + F.size("added") > 0
+    values = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in values:
+        values["n_chars"] = F.when(touched, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(values["n_chars"])
+    return changed.select(*[values[c].alias(c) for c in docs.columns])

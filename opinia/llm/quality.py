@@ -7,7 +7,7 @@ is kept if no rule rejects it, in whatever order, so results are the same on eve
 
 Words are runs of characters other than space and U+0009 to U+000D. Null text has no words. Texts are read whole; what
 a rule needs from the rows of a text are arrays within the row, so nothing is shuffled and no text meets another.
-Input columns called like outputs are replaced.
+Reports carry doc_id only; kept rows carry all their columns.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinia.llm.storage import written
+from opinia.llm.storage import whole_row, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -181,8 +181,8 @@ def cascade(staged: DataFrame, order: list[Rule], feature: Lookup = lazily) -> D
 
 def accepted(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """The rows that no rule rejects, as they are."""
-    judged = cascade(prepared(docs), ordered(docs, rules))
-    return judged.where("_rejected is null").select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = cascade(prepared(docs.select(whole_row(docs), "text")), ordered(docs, rules))
+    return judged.where("_rejected is null").select("_row.*")
 
 
 def quality_report(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:

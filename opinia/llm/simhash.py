@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinia.llm.storage import written
+from opinia.llm.storage import whole_row, written
 
 SHINGLE = 3
 SEED = 42
@@ -160,10 +160,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Rows that repeat a doc_id count as one document, of which the first by text stays; rows without a doc_id stay.
     """
-    from pyspark.sql import Window
-
     keepers = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keepers, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
-    kept = kept.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+    kept = docs.select("doc_id", whole_row(docs)).join(keepers, "doc_id", "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("_row.text"))
+    kept = kept.withColumn("place", first).where("place = 1").select("_row.*")
     return kept.unionByName(docs.where("doc_id is null"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opinia.operators.materialize import checkpoint_folder
 
@@ -27,3 +28,8 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/pages.parquet")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``_row``, so that no name of theirs meets a name of an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
