@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opinia.llm import bpe, html, language, merkle, packing, pii, quality, secret_scan, simhash, urls
+from opinia.llm.oracle import URL_RULES, oracle_sql
 from opinia.llm.storage import documents, pages
 
+__all__ = ["queries", "oracle_sql", "URL_RULES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -19,16 +22,6 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-# The rules that op9 applies: (host, path, verdict).
-URL_RULES = [
-    ("com", "/", urls.ALLOW),
-    ("example.com", "/en/", urls.BLOCK),
-    ("www.example.com", "/en/", urls.ALLOW),
-    ("net", "/es/", urls.BLOCK),
-    ("net", "/fr/", urls.BLOCK),
-]
-
-
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_report(documents(spark, folder))
 
@@ -85,5 +78,3 @@ def queries() -> dict[str, Query]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
