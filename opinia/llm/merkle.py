@@ -57,7 +57,8 @@ def branches(tree: Column) -> Column:
 
 def paragraph_nodes(tree: Column) -> Column:
     """The distinct paragraph nodes of a fingerprint."""
-    nodes = F.regexp_replace(F.regexp_replace(tree, r"^[0-9a-f]*;", ""), r"[0-9a-f]*=", "")
+    # Patterns that begin at a separator, so that long runs of nodes are passed over once.
+    nodes = F.regexp_replace(F.substring(tree, F.lit(65), F.length(tree)), f";[0-9a-f]{{{NODE}}}=", "")
     return F.array_distinct(F.regexp_extract_all(nodes, F.lit(f"([0-9a-f]{{{NODE}}})"), 1))
 
 
