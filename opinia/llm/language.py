@@ -8,7 +8,7 @@ language with the shortest exact code of all its bytes (lower-cased), ties to th
 Frozen trees make the code length a function of the last bytes. So the trees of all languages become one table: a state
 for every context known to any language, a row per state and byte, a column per language. Scoring a text is a few table
 look-ups per byte in numpy, over blocks of bounded size. The table's size is bounded by the sample it is learned from:
-at most ``SAMPLE`` labelled documents of each language, those with the smallest hashes of doc_id, each read whole.
+about ``SAMPLE`` labelled documents of each language, chosen by a hash of doc_id, each read whole.
 
 Null text and text without a letter are ``und`` with score 0, as is everything if nothing was learned. Rows without a
 doc_id are neither held out nor learned from. Labels that are null teach nothing. Without usable labels nothing is learned.
@@ -21,15 +21,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinia.llm.storage import whole_row
 
 ORDER = 3
+# Labelled documents to learn from, for each language: the bound of the model's sample.
 SAMPLE = 400
 # Contexts seen less often in all languages together are left to the next shorter one.
 LEAST_SEEN = 3
+HASH_RANGE = 1 << 32
 BLOCK = 1 << 20
 UNKNOWN = "und"
 LEAST_SCORE = 0.5
@@ -40,12 +42,13 @@ def held_out() -> F.Column:
 
 
 def sampled(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """(lang, text) to learn from. Only ids are ranked, and each task passes on no more than ``size`` a language."""
+    """(lang, text) to learn from: a language's rows are counted, and a share of them that comes to ``size`` is taken by a
+    hash of doc_id. No language's rows have to meet."""
     usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = usable.select("doc_id", "lang").withColumn("place", rank).where(F.col("place") <= size).select("doc_id").distinct()
-    # At most ``size`` ids a language.
-    return usable.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "text")
+    # One row per language, as many as the model has columns.
+    counts = F.broadcast(usable.groupBy("lang").agg(F.count("*").alias("rows")))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE))
+    return usable.join(counts, "lang").where(place * F.col("rows") < F.lit(size) * HASH_RANGE).select("lang", "text")
 
 
 def context_counts(sample: DataFrame, order: int = ORDER) -> DataFrame:
