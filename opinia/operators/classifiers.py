@@ -29,7 +29,7 @@ from opinia.operators.materialize import materialize, shrink_partitions
 from opinia.operators.neighbours import knn_predict
 from opinia.operators.reduction import ROWS_PER_PARTITION, fit_svd
 from opinia.operators.scaling import SCALERS
-from opinia.operators.terms import term_rows, tfidf_vectors
+from opinia.operators.terms import frequent_terms, term_rows, tfidf_vectors
 
 BAYES = {"multinomialnb": "multinomial", "complementnb": "complement", "gaussiannb": "gaussian"}
 CLASSIFIERS = [*BAYES, "linearsvc", "sgd", "randomforest", "decisiontree", "knn"]
@@ -49,7 +49,7 @@ class ClassifierSettings:
     loss: str = "squared_hinge"
     penalty: str = "l2"
     tol: float = 1e-4
-    max_iter: int = 50
+    max_iter: int = 1000
     alpha: float = 1e-4
     trees: int = 50
     max_depth: int = 30
@@ -130,7 +130,8 @@ class WeightModel:
     def predict(self, terms: DataFrame) -> DataFrame:
         kept = [c for c in terms.columns if c != "terms"]
         rows = lookup_terms(
-            term_rows(terms, keep_empty=True), self.table, ["idf", "w"], "df", F.xxhash64("doc_id", "term"), how="left"
+            term_rows(terms, keep_empty=True), self.table, ["idf", "w"], "df", F.xxhash64("doc_id", "term"), how="left",
+            frequent=frequent_terms(terms),
         )
         raw = F.col("tf") * F.col("idf")
         length = F.sqrt(F.sum(raw * raw))
@@ -162,12 +163,11 @@ def _estimator(settings: ClassifierSettings, features: str, n_docs: int):
     if name == "linearsvc":
         # liblinear sums losses with factor C, ml averages them and weighs the penalty.
         return LinearSVC(
-            regParam=1.0 / (settings.C * n_docs), standardization=False, maxIter=settings.max_iter,
-            tol=max(settings.tol, 1e-4), **columns,
+            regParam=1.0 / (settings.C * n_docs), standardization=False, maxIter=settings.max_iter, tol=settings.tol, **columns,
         )
     if name == "sgd":
         return LinearSVC(
-            regParam=settings.alpha, standardization=False, maxIter=settings.max_iter, tol=1e-4, **columns
+            regParam=settings.alpha, standardization=False, maxIter=settings.max_iter, tol=settings.tol, **columns
         )
     if name == "randomforest":
         return RandomForestClassifier(
@@ -196,7 +196,7 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
         raise ValueError(f"linear models need two classes, found {len(classes)}")
     words = fit_vectoriser(terms, *limits)
     size, n_docs = words.count(), terms.count()
-    options = dict(positive=classes[-1], C=settings.C, penalty=settings.penalty, tol=settings.tol)
+    options = dict(positive=classes[-1], C=settings.C, penalty=settings.penalty, tol=settings.tol, max_steps=settings.max_iter)
     if name == "linearsvc" and settings.loss == "squared_hinge" and plain:
         if size > DRIVER_WEIGHTS:
             weights, intercept = fit_squared_hinge_table(tfidf_vectors(terms, words), **options)

@@ -61,15 +61,15 @@ def length_histogram(docs: DataFrame, bins: int = 50) -> DataFrame:
         "total",
         width.alias("width"),
     )
-    in_bin = (F.col("length") >= F.col("lower")) & (
-        (F.col("length") < F.col("upper")) | ((F.col("bin") == bins - 1) & (F.col("length") == F.col("upper")))
-    )
-    # ``edges`` has ``bins`` rows by construction.
-    return (
-        counts.join(F.broadcast(edges), in_bin, "right")
-        .groupBy("bin", "lower", "upper", "total", "width")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        .select("bin", "lower", "upper", "n", (F.col("n") / (F.col("total") * F.col("width"))).alias("density"))
+    # The bin by arithmetic, put right where rounding lands on the wrong side of an edge; the joins meet one or 50 rows.
+    lower = lambda bin_: F.col("lo") + bin_ * F.col("width")
+    placed = counts.join(F.broadcast(span.select("lo", width.alias("width"))), how="cross")
+    guess = F.floor((F.col("length") - F.col("lo")) / F.col("width"))
+    guess = guess + F.when(F.col("length") < lower(guess), -1).when(F.col("length") >= lower(guess + 1), 1).otherwise(0)
+    binned = placed.select(F.least(F.lit(bins - 1), guess).cast("int").alias("bin"), "n").groupBy("bin").agg(F.sum("n").alias("n"))
+    return edges.join(binned, "bin", "left").select(
+        "bin", "lower", "upper", F.coalesce("n", F.lit(0)).alias("n"),
+        (F.coalesce("n", F.lit(0)) / (F.col("total") * F.col("width"))).alias("density"),
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from opinia.operators.lookup import lookup_terms
 from opinia.operators.materialize import materialize
-from opinia.operators.terms import term_rows, tfidf_vectors, vocabulary, weight_rows, with_idf
+from opinia.operators.terms import frequent_terms, term_rows, tfidf_vectors, vocabulary, weight_rows, with_idf
 
 KINDS = ("multinomial", "complement", "gaussian")
 # More distinct labels than this are taken for a mistake in the label column.
@@ -57,7 +57,8 @@ class NaiveBayesModel:
         squares = self.kind == "gaussian"
         values = ["idf", *[f"b_{i}" for i in count], *([f"a_{i}" for i in count] if squares else [])]
         rows = lookup_terms(
-            term_rows(terms, keep_empty=True), self.terms, values, "df", F.xxhash64("doc_id", "term"), how="left"
+            term_rows(terms, keep_empty=True), self.terms, values, "df", F.xxhash64("doc_id", "term"), how="left",
+            frequent=frequent_terms(terms),
         )
         raw = F.col("tf") * F.col("idf")
         sums = [F.sum(raw * raw).alias("_norm2")]

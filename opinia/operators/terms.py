@@ -20,7 +20,7 @@ from opinia.functions.text import (
     run_starts,
     split_tokens,
 )
-from opinia.operators.lookup import lookup_terms
+from opinia.operators.lookup import frequent_keys, lookup_terms
 
 
 def unfold(df: DataFrame, array: str, output: str) -> DataFrame:
@@ -91,6 +91,11 @@ def document_frequency(terms: DataFrame, **counts: Column) -> DataFrame:
     return term_rows(terms).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"), *extra)
 
 
+def frequent_terms(terms: DataFrame) -> DataFrame:
+    """(term): the most frequent terms of these documents, whether a vocabulary keeps them or not."""
+    return frequent_keys(document_frequency(terms), "df")
+
+
 def within_limits(df: Column, n_docs: Column | int, min_df: float, max_df: float) -> Column:
     """Document-frequency limits: integers are counts, floats are shares of the documents."""
     most = F.lit(max_df) * n_docs if isinstance(max_df, float) else F.lit(max_df)
@@ -124,7 +129,8 @@ def tfidf_vectors(terms: DataFrame, words: DataFrame, name: str = "term") -> Dat
     kept = [c for c in terms.columns if c != "terms"]
     extra = [c for c in (name, "scale", "shift") if c != "term" and c in words.columns]
     known = lookup_terms(
-        term_rows(terms, keep_empty=True), words, ["idf", *extra], "df", F.xxhash64("doc_id", "term"), how="left"
+        term_rows(terms, keep_empty=True), words, ["idf", *extra], "df", F.xxhash64("doc_id", "term"), how="left",
+        frequent=frequent_terms(terms),
     )
     raw = F.struct(name, (F.col("tf") * F.col("idf")).alias("w"), *[c for c in extra if c != name])
     # One group per document again.

@@ -126,3 +126,21 @@ def test_hash_numbering_is_dense(spark):
     df = spark.range(500).select(F.concat(F.lit("t"), "id").alias("term"))
     got = prefix_sums.running_total(prefix_sums.hash_buckets(df, "term", buckets=16), ["term"], "idx")
     assert sorted(r["idx"] for r in got.collect()) == list(range(500))
+
+
+def test_no_shuffle_key_holds_a_large_share(spark, monkeypatch):
+    """A word in every document is pruned, another is new to the vocabulary: both must be spread all the same."""
+    monkeypatch.setattr(lookup, "HOT_TERMS", 4)
+    docs = spark.createDataFrame(
+        [(i, ["everywhere", "unknown", f"a{i % 97}", f"b{i % 89}"]) for i in range(600)], "doc_id long, tokens array<string>"
+    )
+    counted = terms.doc_terms(docs)
+    words = terms.with_idf(terms.vocabulary(counted, 600, max_df=0.5).where("term != 'unknown'"), 600)
+    rows = terms.term_rows(counted)
+    spread = lookup.spread_rows(rows, words, ["idf"], "df", F.xxhash64("doc_id", "term"), "term", terms.frequent_terms(counted))
+    largest = spread.groupBy("_probe").count().agg(F.max("count")).first()[0]
+    assert largest <= rows.count() / 4 / 50
+    joined = lookup.lookup_terms(rows, words, ["idf"], "df", F.xxhash64("doc_id", "term"), how="left", frequent=terms.frequent_terms(counted))
+    plain = rows.join(words.select("term", "idf"), "term", "left")
+    key = lambda df: sorted((r["doc_id"], r["term"], r["idf"] or 0.0) for r in df.select("doc_id", "term", "idf").collect())
+    assert key(joined) == key(plain)
