@@ -277,6 +277,22 @@ def best_config(spark, folder):
     return search.best_configuration(grid_search(spark, folder))
 
 
+def param_grid(spark, folder):
+    """The grid that is searched by default, one row per configuration, with the number of labelled texts it is for."""
+    rows = [(i, c.C, *c.ngram_range, c.loss, c.max_df, float(c.min_df), c.tol) for i, c in enumerate(search.parameter_grid(search.DEFAULT_GRID))]
+    grid = spark.createDataFrame(rows, "config_id int, C double, ngram_1 int, ngram_2 int, loss string, max_df double, min_df double, tol double")
+    # One row on either side of a lookup by a constant.
+    return grid.join(F.broadcast(labelled(spark, folder).agg(F.count("*").alias("texts"))))
+
+
+def active_pipeline_export(spark, folder):
+    """Stems, one- and two-word terms, hinge SVM with C = 3, predictions numbered for export."""
+    text, settings = training.TextSettings(), classifiers.ClassifierSettings(loss="hinge", C=3.0, tol=1e-8, min_df=1)
+    model = classifiers.fit_classifier(materialize(training.prepare_terms(labelled(spark, folder), text)), settings)
+    predicted = model.predict(training.prepare_terms(unlabelled(spark, folder), text))
+    return prediction_export(predicted.select("doc_id", "predicted"))
+
+
 def svm_grid_search(spark, folder):
     """Three folds and two values of C; the whole default grid takes 240 fits."""
     params = {"classifier": ["linearsvc"], "C": [2.0, 3.0], "loss": ["squared_hinge"], "min_df": [2]}
@@ -316,10 +332,10 @@ def queries() -> dict[str, Query]:
         "cnb_predict": cnb_predict,
         "gnb_predict": _naive_bayes("gaussian"),
         "knn_predict": _classifier(classifier="knn", min_df=1),
-        "linear_svm_predict": _classifier(classifier="linearsvc", loss="hinge", C=3.0, max_iter=20),
+        "linear_svm_predict": _classifier(classifier="linearsvc", loss="hinge", C=3.0, tol=1e-8, min_df=1),
         "squared_hinge_svm_predict": _classifier(classifier="linearsvc", loss="squared_hinge", C=3.0),
         "l1_svm_predict": _classifier(classifier="linearsvc", loss="squared_hinge", penalty="l1", C=3.0),
-        "sgd_svm_predict": _classifier(classifier="sgd", max_iter=20),
+        "sgd_svm_predict": _classifier(classifier="sgd"),
         "random_forest_predict": _classifier(classifier="randomforest", min_df=5, trees=20, max_depth=10),
         "decision_tree_predict": _classifier(classifier="decisiontree", min_df=5, max_depth=10),
         "lsa_features": lsa_features,
@@ -336,5 +352,7 @@ def queries() -> dict[str, Query]:
         "cv_f1_weighted": cv_f1_weighted,
         "grid_search": grid_search,
         "best_config": best_config,
+        "param_grid": param_grid,
+        "active_pipeline_export": active_pipeline_export,
         "svm_grid_search": svm_grid_search,
     }

@@ -355,6 +355,10 @@ SELECT a.class, b.class AS predicted, count(oof.doc_id) AS n
 FROM l a CROSS JOIN l b LEFT JOIN oof ON oof.class = a.class AND oof.predicted = b.class GROUP BY a.class, b.class""",
         "fold_f1_weighted": f"WITH {_out_of_fold('complement')}, {F1} SELECT fold, round(f1, 6) AS f1_weighted FROM ff",
         "cv_f1_weighted": f"WITH {_out_of_fold('complement')}, {F1} SELECT count(*) AS folds, round(avg(f1), 6) AS f1_weighted FROM ff",
+        "param_grid": f"""WITH {DEV}
+SELECT (row_number() OVER (ORDER BY c.C, l.i DESC, d.max_df, m.min_df) - 1)::INTEGER AS config_id, c.C::DOUBLE AS "C", 1 AS ngram_1, 2 AS ngram_2,
+  l.loss, d.max_df::DOUBLE AS max_df, m.min_df::DOUBLE AS min_df, 0.000001::DOUBLE AS tol, (SELECT count(*) FROM dev) AS texts
+FROM (VALUES (2.0), (2.5), (3.0)) c(C), (VALUES (1, 'hinge'), (2, 'squared_hinge')) l(i, loss), (VALUES (0.5), (0.8)) d(max_df), (VALUES (1), (2)) m(min_df)""",
         "grid_search": _grid(GRID),
         "best_config": f"""WITH g AS ({_grid(GRID)})
 SELECT * FROM g ORDER BY f1_weighted DESC, config_id LIMIT 1""",

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 CHECKED = [
     "class_counts", "doc_length_box", "tokens_clean", "tokens_legacy", "stop_word_occurrences", "top_words_by_class",
     "emoji_by_class", "frequent_itemsets", "df_pruned_vocab", "tfidf_weights", "robust_scaled", "cnb_predict",
-    "stratified_folds", "scored_export",
+    "stratified_folds", "scored_export", "param_grid", "doc_length_hist", "maxabs_scaled", "knn_predict", "gnb_predict",
 ]
 
 
