@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinia.operators.materialize import materialize
+
 LABELLED = T.StructType([T.StructField("text", T.StringType()), T.StructField("class", T.StringType())])
 UNLABELLED = T.StructType([T.StructField("text", T.StringType())])
 
@@ -27,10 +29,26 @@ def read_reviews_csv(
     names = [*wanted, "doc_id"] if "doc_id" in header else wanted
     # All columns as text first, in file order: a declared schema is matched by position, not by name.
     full = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    df = reader.schema(full).csv(path).select(*names)
+    rows = reader.schema(full).csv(path)
+    df = rows.select(*names)
     if "doc_id" in header:
         return df.withColumn("doc_id", F.col("doc_id").cast("long"))
-    return df.withColumn("doc_id", F.monotonically_increasing_id())
+    return numbered_by_file(rows, names)
+
+
+def numbered_by_file(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` and ``doc_id``, 0..n-1 by file name and place in the file, however Spark packs files into tasks.
+
+    Running numbers are consecutive within a file's block, so a row is its block's first number away from its place.
+    """
+    block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    placed = materialize(rows.select(*names, *block, F.monotonically_increasing_id().alias("_at")))
+    blocks = placed.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    # One row per block of a file.
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_at") - F.col("_first")
+    return placed.join(starts, ["_file", "_block"]).select(*names, place.alias("doc_id"))
 
 
 def read_development_csv(spark: SparkSession, path: str) -> DataFrame:

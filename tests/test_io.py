@@ -91,3 +91,12 @@ def test_frequent_itemsets_are_writable(reviews, tmp_path):
     sets = explore.frequent_itemsets(reviews, 0.4)
     writers.write_itemsets_csv(sets, str(tmp_path / "sets"))
     assert {r["itemsets"] for r in written(tmp_path / "sets")} >= {"camera", "ottima", "personale"}
+
+
+def test_rows_of_several_files_are_numbered_in_file_order(spark, tmp_path):
+    sizes = {"a": 3, "b": 40, "c": 1, "d": 12}
+    for name, n in sizes.items():
+        (tmp_path / f"{name}.csv").write_text("text,class\n" + "".join(f'"{name}\n{i}",pos\n' for i in range(n)), encoding="utf-8")
+    rows = readers.read_development_csv(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r["doc_id"] for r in rows] == list(range(56))
+    assert [r["text"] for r in rows] == [f"{name}\n{i}" for name, n in sizes.items() for i in range(n)]
