@@ -61,7 +61,8 @@ def _n_labelled(spark: SparkSession, folder: str) -> int:
 
 
 def _dev_vectors(spark: SparkSession, folder: str, ngram_range: tuple[int, int] = BOTH) -> tuple[DataFrame, int]:
-    counted, n = _dev_terms(spark, folder, ngram_range), _n_labelled(spark, folder)
+    # Vocabulary, frequent terms and vectors all read them: tokenised once.
+    counted, n = materialize(_dev_terms(spark, folder, ngram_range)), _n_labelled(spark, folder)
     words = terms.with_idf(terms.vocabulary(counted, n, max_df=0.5, min_df=1), n)
     return terms.tfidf_vectors(counted, words), n
 
@@ -177,7 +178,7 @@ def chi2_top_terms(spark, folder):
 def _naive_bayes(kind: str) -> Query:
     def query(spark, folder):
         model = naive_bayes.fit_naive_bayes(_dev_terms(spark, folder), kind)
-        predicted = model.predict(_eva_terms(spark, folder))
+        predicted = model.predict(materialize(_eva_terms(spark, folder)))
         return predicted.drop("score") if kind == "gaussian" else _rounded(predicted, "score")
 
     return query
@@ -192,7 +193,7 @@ def _classifier(**settings) -> Query:
     def query(spark, folder):
         known = materialize(_dev_terms(spark, folder))
         fitted = classifiers.fit_classifier(known, classifiers.ClassifierSettings(**settings))
-        return fitted.predict(_eva_terms(spark, folder)).select("doc_id", "predicted")
+        return fitted.predict(materialize(_eva_terms(spark, folder))).select("doc_id", "predicted")
 
     return query
 
