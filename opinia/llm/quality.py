@@ -182,7 +182,10 @@ def cascade(staged: DataFrame, order: list[Rule], feature: Lookup = lazily) -> D
 def accepted(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """The rows that no rule rejects, as they are."""
     judged = cascade(prepared(docs.select(whole_row(docs), "text")), ordered(docs, rules))
-    return judged.where("_rejected is null").select("_row.*")
+    # A filter moves below projections and takes the expressions it needs along, which would compute the words again for
+    # every use inside a rule. It does not move below a row number.
+    numbered = judged.withColumn("_number", F.monotonically_increasing_id())
+    return numbered.where("_rejected is null and _number >= 0").select("_row.*")
 
 
 def quality_report(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
