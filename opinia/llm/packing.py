@@ -29,6 +29,9 @@ END_ID = 2
 # Enough pieces for nearly full sequences, few enough for one small task.
 GROUP_PIECES = 2048
 CACHED_WORDS = 600_000
+# Longer stretches without a space are not kept.
+LONGEST_CACHED = 64
+MARKS = frozenset(".,;:!?")
 PIECES = "array<struct<start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint>>"
 
 
@@ -42,6 +45,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.marks = {"": b""} | {mark: self.whole(mark) for mark in MARKS}
         self.memo: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -58,14 +62,30 @@ class WordEncoder:
             return b"".join([memo[w] for w in words])
         except KeyError:
             pass
-        # New words: all at once, as the call costs more than the word.
-        new = [w for w in set(words) if w not in memo]
-        if len(memo) + len(new) > CACHED_WORDS:
+        if len(memo) > CACHED_WORDS:
             memo.clear()
-            new = list(set(words))
-        codes = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        memo.update(zip(new, [b"".join([i.to_bytes(4, "little") for i in c.ids]) for c in codes]))
-        return b"".join([memo[w] for w in words])
+        odd = []
+        for word in words:
+            if word not in memo:
+                bare, mark = (word[:-1], word[-1]) if word[-1:] in MARKS else (word, "")
+                if bare.isascii() and bare.isalpha():
+                    # A word of ASCII letters and a mark behind it never join: straight to the model, in lower case.
+                    code = memo.get(bare := bare.lower())
+                    if code is None:
+                        code = memo[bare] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(bare)])
+                    memo[word] = code + self.marks[mark]
+                else:
+                    odd.append(word)
+        if odd:
+            # The rest all at once, as the call costs more than the word.
+            odd = list(set(odd))
+            codes = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+            memo.update(zip(odd, [b"".join([i.to_bytes(4, "little") for i in c.ids]) for c in codes]))
+        data = b"".join([memo[w] for w in words])
+        for word in odd:
+            if len(word) > LONGEST_CACHED:
+                del memo[word]
+        return data
 
 
 @lru_cache(maxsize=4)
