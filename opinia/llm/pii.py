@@ -45,6 +45,8 @@ GENERALISE, REMOVE = 0.8, 0.95
 PLACEHOLDER = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 GENERAL, GONE = "[TERM]", ""
 BITMAP_BITS = 22
+# Bits of one of Spark's bitmap blocks.
+BLOCK_BITS = 32_768
 # Different terms a task adds up before it passes them on.
 HELD_TERMS = 200_000
 HOT_SHARE = 1024
@@ -156,20 +158,15 @@ def detector() -> Callable[[str], F.Column]:
 
 def likely_terms(terms: DataFrame) -> np.ndarray:
     """A bitmap of 2^BITMAP_BITS bits, half a megabyte, with the hashes of all ``term`` values."""
-    place = F.crc32("term").bitwiseAND((1 << BITMAP_BITS) - 1)
+    place = F.crc32("term").bitwiseAND((1 << BITMAP_BITS) - 1) + 1
     blocks = terms.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("b")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")
     )
     bits = np.zeros(1 << BITMAP_BITS, bool)
-    # 128 blocks of 4 KB at most, whatever the corpus; block 1 begins at position 1.
+    # 128 blocks of 4 KB at most, whatever the corpus; buckets count from 1.
     for row in blocks.collect():
         block = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little").astype(bool)
-        positions = np.flatnonzero(block) + (row["b"] - 1) * 32768 + 1
-        bits[positions[positions < len(bits)]] = True
-        if (positions >= len(bits)).any():
-            bits[0] = True
-    if terms.where(place == 0).limit(1).count():
-        bits[0] = True
+        bits[np.flatnonzero(block) + (row["b"] - 1) * BLOCK_BITS] = True
     return bits
 
 
