@@ -4,7 +4,10 @@ Per page, text is collected in blocks, each under the path of block-level tags f
 length and punctuation per block are added up, for inner nodes over everything below them. A path's ratio is smoothed
 with that of the nodes above it, up to the body, so that a heading or a list inside a long article shares the article's
 weight and a single long line elsewhere does not. The ratios are fused with the share of linked text and with what tag
-names and classes say of a node, and a path is content if it comes to ``THRESHOLD`` of the page's heaviest path.
+names and classes say of a node, and a path is content if it comes to ``THRESHOLD`` of the page's heaviest path. All that
+stands below the heaviest path's container is content too, unless tags or names exclude it: short lists and table cells of
+an article have low ratios of their own. The container is the outermost article or main around the path, or else its parent;
+where that is the body itself, only what is not mostly links counts.
 
 A page is one row and never leaves it: no shuffle, and memory is bounded by the page. Broken mark-up is read as it
 stands: unclosed tags end with what encloses them, an end tag without a start is ignored, unclosed comments and scripts
@@ -159,8 +162,17 @@ def main_text(html: str | None, threshold: float = THRESHOLD, smoothing: float =
             best[row[0]] = max(best.get(row[0], 0.0), s)
     if not totals:
         return ""
-    bar = threshold * best[max(totals, key=totals.get)]
-    return "\n".join(row[2] for row, s in zip(rows, scores) if s > bar)
+    heaviest = max(totals, key=totals.get)
+    bar = threshold * best[heaviest]
+    inside = next((depth for depth, node in enumerate(heaviest, 1) if node.split(".")[0] in INSIDE), max(0, len(heaviest) - 1))
+    container = heaviest[:inside]
+    in_root = not container or container[-1].split(".")[0] in ROOTS
+
+    def kept(path: tuple[str, ...], weight: float, text: str, in_links: int) -> bool:
+        # What tags or names exclude weighs less than 1.
+        return path[:inside] == container and weight >= 1 and not (in_root and 2 * in_links > len(text))
+
+    return "\n".join(row[2] for row, s in zip(rows, scores) if s > bar or kept(*row))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from opinia.llm import html
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -41,3 +42,14 @@ def test_near_duplicate_stage_links_all_that_share_four_fifths(spark):
         near = [x for x in given if (x[0], x[1]) < (r[0], r[1]) and likeness(x[1], r[1]) >= 0.8]
         assert near or (r[0], r[1]) in texts
     assert {t for t in texts if t[0] == 300_000} == {(r[0], r[1]) for r in twice}
+
+
+def test_short_lists_and_table_cells_of_an_article_stay():
+    long = "".join(f"<p>{c * 290}, and on.</p>" for c in "abcde")
+    items = [f"item {i} is short" for i in range(4)]
+    listed = "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>"
+    table = "<table>" + "".join(f"<tr><td>cell {i} here</td></tr>" for i in range(4)) + "</table>"
+    for before, after in (("<article>", "</article>"), ("<main><article>", "</article></main>"), ("<div id=x>", "</div>"), ("", "")):
+        page = f"<html><body><nav><a href=x>Home</a></nav>{before}{long}{listed}{table}{after}<footer>c 2020</footer></body></html>"
+        lines = html.main_text(page).split("\n")
+        assert len(lines) == 13 and lines[5:9] == items and lines[9:] == [f"cell {i} here" for i in range(4)], before
