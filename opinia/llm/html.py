@@ -10,8 +10,8 @@ an article have low ratios of their own. The container is the outermost article
 where that is the body itself, only what is not mostly links counts.
 
 A page is one row and never leaves it: no shuffle, and memory is bounded by the page. Broken mark-up is read as it
-stands: unclosed tags end with what encloses them, an end tag without a start is ignored, unclosed comments and scripts
-run to the end of the page. Null html gives an empty text. White space is any Unicode white space; ``br`` counts as such.
+stands: unclosed tags end with what encloses them, an end tag without a start is ignored, unclosed comments, scripts,
+styles, titles and textareas run to the end of the page. Null html gives an empty text. White space is any Unicode white space; ``br`` counts as such.
 """
 
 from __future__ import annotations
@@ -27,15 +27,17 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.2
 SMOOTHING = 0.5
-# Content that is not text of the page; runs to its end tag whatever stands in it.
+# Content that is not text of the page. These run to their end tag, or else to the end of the page, as in browsers.
 TOKENS = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|canvas|select|textarea|button|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>[^>]*)>"
     r"|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
+# These run to their end tag; without one, or closed in themselves, only the tag is no text.
+ENCLOSED = {t: re.compile(rf"</{t}\s*>", re.I) for t in "noscript template svg math iframe object canvas select button".split()}
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q rp rt ruby s samp small "
@@ -55,29 +57,54 @@ OUTSIDE_NAMES = re.compile(
     r"related|recommended|newsletter|subscribe|signup|login|search|widget|complementary|contentinfo|hidden)(?:$|[\s_-])",
     re.I,
 )
+# What names say counts as one factor.
+NAMED = 0.1
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 SPACE = re.compile(r"\s+")
 
 
 class Block:
-    __slots__ = ("path", "parts", "linked", "weight")
-
-    def __init__(self, path: tuple[str, ...], weight: float) -> None:
-        self.path, self.parts, self.linked, self.weight = path, [], 0, weight
+    __slots__ = ("path", "parts", "linked", "weight", "named")
+
+    def __init__(self, path: tuple[str, ...], weight: float, named: tuple[int, ...]) -> None:
+        self.path, self.parts, self.linked, self.weight, self.named = path, [], 0, weight, named
+
+
+def tokens(html: str) -> Iterator[re.Match[str]]:
+    """Mark-up and text of a page without what stands in elements of ``ENCLOSED``."""
+    at, unclosed = 0, set()
+    while at < len(html):
+        token = TOKENS.match(html, at)
+        at = token.end()
+        tag = (token["tag"] or "").lower()
+        if tag not in ENCLOSED:
+            yield token
+        elif not (token["end"] or tag in unclosed or tag in ("svg", "math") and token["rest"].endswith("/")):
+            end = ENCLOSED[tag].search(html, at)
+            if end:
+                at = end.end()
+            else:
+                # No later one is closed either, so the page is searched once per tag.
+                unclosed.add(tag)
 
 
 def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
-    """(path, weight by names, text, linked characters) of every block with text, in page order."""
+    """(path, weight by tags and names, text, linked characters) of every block with text, in page order.
+
+    Names that speak against an element do not count if at least half of what stands in article or main is in it or, on a
+    page without them, at least half of the text.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], float]] = []  # tag, path, weight
-    links, current = 0, None
+    # Tag, path, weight by tags, numbers of the elements with such names.
+    stack: list[tuple[str, tuple[str, ...], float, tuple[int, ...]]] = []
+    links, current, n_named = 0, None, 0
 
     def open_block() -> Block:
-        path, weight = (stack[-1][1], stack[-1][2]) if stack else ((), 1.0)
-        found.append(Block(path, weight))
+        path, weight, named = stack[-1][1:] if stack else ((), 1.0, ())
+        found.append(Block(path, weight, named))
         return found[-1]
 
-    for token in TOKENS.finditer(html):
+    for token in tokens(html):
         text = token["text"]
         if text is not None:
             current = current or open_block()
@@ -110,18 +137,28 @@ def blocks(html: str) -> list[tuple[tuple[str, ...], float, str, int]]:
         if tag in VOID or token["rest"].endswith("/"):
             continue
         names = " ".join(filter(None, (x for m in NAMES.findall(token["rest"]) for x in m))) if "=" in token["rest"] else ""
-        path, weight = (stack[-1][1], stack[-1][2]) if stack else ((), 1.0)
-        if tag in OUTSIDE or names and OUTSIDE_NAMES.search(names):
+        path, weight, named = stack[-1][1:] if stack else ((), 1.0, ())
+        if tag in OUTSIDE:
             weight = 0.0
         elif tag in INSIDE and weight:
             weight = 4.0
-        stack.append((tag, (*path, f"{tag}.{names}" if names else tag), weight))
-    out = []
-    for block in found:
-        text = SPACE.sub(" ", unescape("".join(block.parts))).strip()
-        if text:
-            out.append((block.path, block.weight, text, min(block.linked, len(text))))
-    return out
+        if names and tag not in ROOTS and OUTSIDE_NAMES.search(names):
+            named, n_named = (*named, n_named), n_named + 1
+        stack.append((tag, (*path, f"{tag}.{names}" if names else tag), weight, named))
+    texts = [(block, text) for block in found if (text := SPACE.sub(" ", unescape("".join(block.parts))).strip())]
+    # Characters in all blocks and in those below article or main: of the page, and of each element with such names.
+    total, within = [0, 0], [[0, 0] for _ in range(n_named)]
+    for block, text in texts:
+        if block.weight:
+            for sums in (total, *(within[i] for i in block.named)):
+                sums[0] += len(text)
+                sums[1] += len(text) * (block.weight > 1)
+    kind = 1 if total[1] else 0
+    against = [2 * sums[kind] < total[kind] for sums in within]
+    return [
+        (block.path, block.weight * (NAMED if any(against[i] for i in block.named) else 1.0), text, min(block.linked, len(text)))
+        for block, text in texts
+    ]
 
 
 def main_text(html: str | None, threshold: float = THRESHOLD, smoothing: float = SMOOTHING) -> str:

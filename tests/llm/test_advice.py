@@ -53,3 +53,20 @@ def test_short_lists_and_table_cells_of_an_article_stay():
         page = f"<html><body><nav><a href=x>Home</a></nav>{before}{long}{listed}{table}{after}<footer>c 2020</footer></body></html>"
         lines = html.main_text(page).split("\n")
         assert len(lines) == 13 and lines[5:9] == items and lines[9:] == [f"cell {i} here" for i in range(4)], before
+
+
+def test_names_of_enclosing_elements_and_unclosed_tags_lose_no_text():
+    text = ["First paragraph of text, long enough to count. It goes on.", "Second paragraph, with more to say. It ends."]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    beside = '<div class="sidebar"><p>Related, short.</p></div>'
+    for page in (
+        f'<html><body class="no-sidebar"><article>{body}</article>{beside}</body></html>',
+        f'<html class="has-header"><body><div class="content with-sidebar">{body}</div>{beside}</body></html>',
+        f'<body><div id="page" class="has-header"><main>{body}</main>{beside}</div></body>',
+        f'<body><article><svg viewBox="0 0 1 1"/>{body}</article></body>',
+        f"<body><article><iframe src=x>{body}</article></body>",
+        f"<body><article><button>{body}</article></body>",
+        f"<body><article><svg><text>no</text></svg>{body}<select><option>no</select></article></body>",
+    ):
+        assert html.main_text(page).split("\n") == text, page
+    assert html.main_text("<p>a<script>b") == "a"
