@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinia.llm import bpe, html, language, merkle, packing, pii, quality, secret_scan, simhash, urls
+from opinia.llm import bpe, conversations, html, kneser_ney, language, manifest, merkle, packing, pii, quality, secret_scan, simhash, urls
 from opinia.llm.oracle import URL_RULES, oracle_sql
 from opinia.llm.storage import documents, pages
 
@@ -63,6 +63,18 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, folder))
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.damage_and_repair(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.verified_manifest(documents(spark, folder))
+
+
+def op13_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.language_model_scores(documents(spark, folder))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -75,6 +87,9 @@ def queries() -> dict[str, Query]:
         "op8_bpe": op8_bpe,
         "op9_urls": op9_urls,
         "op10_simhash": op10_simhash,
+        "op11_conversations": op11_conversations,
+        "op12_manifest": op12_manifest,
+        "op13_language_model": op13_language_model,
     }
 
 
