@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinia.operators import naive_bayes
+from opinia.operators.dual import Margin, fit_margins
 from opinia.operators.features import fit_vectoriser, sparse_features, sparse_rows, with_scaling
 from opinia.operators.linear import DRIVER_WEIGHTS, fit_squared_hinge, fit_squared_hinge_table
 from opinia.operators.lookup import lookup_terms
@@ -120,7 +121,8 @@ class NeighbourModel:
 
 @dataclass
 class WeightModel:
-    """A linear model as a table: (term, df, idf, w) and an intercept."""
+    """A linear model as a table: (term, df, idf, w, shift) and an intercept. A document's score is the sum of its weights
+    times ``w`` less the ``shift`` of each of its terms."""
 
     table: DataFrame
     intercept: float
@@ -130,12 +132,12 @@ class WeightModel:
     def predict(self, terms: DataFrame) -> DataFrame:
         kept = [c for c in terms.columns if c != "terms"]
         rows = lookup_terms(
-            term_rows(terms, keep_empty=True), self.table, ["idf", "w"], "df", F.xxhash64("doc_id", "term"), how="left",
+            term_rows(terms, keep_empty=True), self.table, ["idf", "w", "shift"], "df", F.xxhash64("doc_id", "term"), how="left",
             frequent=frequent_terms(terms),
         )
         raw = F.col("tf") * F.col("idf")
         length = F.sqrt(F.sum(raw * raw))
-        score = F.coalesce(F.sum(raw * F.col("w")) / length, F.lit(0.0)) + F.lit(self.intercept)
+        score = F.coalesce(F.sum(raw * F.col("w")) / length - F.sum("shift"), F.lit(0.0)) + F.lit(self.intercept)
         scored = rows.groupBy(*kept).agg(score.alias("score"))
         label = F.when(F.col("score") > 0, F.lit(self.positive)).otherwise(F.lit(self.negative))
         return scored.select(*kept, label.alias("predicted"), "score")
@@ -197,6 +199,12 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
     words = fit_vectoriser(terms, *limits)
     size, n_docs = words.count(), terms.count()
     options = dict(positive=classes[-1], C=settings.C, penalty=settings.penalty, tol=settings.tol, max_steps=settings.max_iter)
+    if settings.scaler != "none" and settings.svd_components is None:
+        words = with_scaling(words, terms, settings.scaler, n_docs)
+    if name == "linearsvc" and settings.penalty == "l2" and settings.svd_components is None:
+        fitted = fit_margins(sparse_rows(terms, words), n_docs, classes[-1], [Margin(settings.C, settings.loss)])
+        weights = materialize(fitted.weights().select("idx", F.col("w")[0].alias("w")))
+        return WeightModel(_unscaled(words.join(weights, "idx")), weights.where("idx = -1").first()["w"], *classes)
     if name == "linearsvc" and settings.loss == "squared_hinge" and plain:
         if size > DRIVER_WEIGHTS:
             weights, intercept = fit_squared_hinge_table(tfidf_vectors(terms, words), **options)
@@ -204,10 +212,7 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
         else:
             fitted = fit_squared_hinge(sparse_rows(terms, words), size, **options)
             table, intercept = _weight_table(words, fitted.weights), fitted.intercept
-        return WeightModel(table, intercept, *classes)
-
-    if settings.scaler != "none" and settings.svd_components is None:
-        words = with_scaling(words, terms, settings.scaler, n_docs)
+        return WeightModel(table.withColumn("shift", F.lit(0.0)), intercept, *classes)
     features = sparse_features(terms, words, size)
     stages, column = [], "features"
     if settings.svd_components is not None:
@@ -233,6 +238,13 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
     return VectorModel(words, size, PipelineModel([*fitted.stages, names]))
 
 
+def _unscaled(words: DataFrame) -> DataFrame:
+    """(term, df, idf, w, shift): weights of scaled features as weights of the plain ones."""
+    if "scale" not in words.columns:
+        return words.select("term", "df", "idf", "w", F.lit(0.0).alias("shift"))
+    return words.select("term", "df", "idf", (F.col("w") / F.col("scale")).alias("w"), (F.col("w") * F.col("shift") / F.col("scale")).alias("shift"))
+
+
 def _weight_table(words: DataFrame, weights: np.ndarray) -> DataFrame:
     """(term, df, idf, w): the driver's weights as a table again, non-zero ones only."""
     spark = words.sparkSession

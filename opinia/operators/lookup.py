@@ -11,11 +11,6 @@ HOT_TERMS = 4096
 OWN_KEY = "\u0000"
 
 
-def frequent_keys(counts: DataFrame, frequency: str, key: str = "term") -> DataFrame:
-    """The HOT_TERMS most frequent keys of the rows that ``counts`` was counted from."""
-    return counts.orderBy(F.desc(frequency), key).limit(HOT_TERMS).select(key)
-
-
 def spread_rows(
     rows: DataFrame, table: DataFrame, values: list[str], frequency: str, scatter: Column, key: str, frequent: DataFrame | None
 ) -> DataFrame:
@@ -54,7 +49,7 @@ def lookup_terms(
 
     ``frequency`` is the column of ``table`` that says how many rows a key has; ``values[0]`` is never null there.
     Where ``rows`` may have frequent keys that ``table`` lacks (pruned terms, new texts), ``frequent`` holds the most
-    frequent keys of ``rows``, from ``frequent_keys``. Rows already answered by the broadcast part go through the shuffle
+    frequent keys of ``rows``, in a column ``key``. Rows already answered by the broadcast part go through the shuffle
     under a key of their own made from ``scatter``, so the hot terms end up spread over all partitions instead of in one.
     """
     rest = table.select(F.col(key).alias("_probe"), *[F.col(v).alias(f"_rest_{v}") for v in values])

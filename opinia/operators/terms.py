@@ -20,7 +20,12 @@ from opinia.functions.text import (
     run_starts,
     split_tokens,
 )
-from opinia.operators.lookup import frequent_keys, lookup_terms
+from opinia.operators.lookup import HOT_TERMS, lookup_terms
+
+# Terms that a summary holds: its counts are short by less than 3.5 / HELD_TERMS of the rows.
+HELD_TERMS = 4 * HOT_TERMS
+# Summaries are merged in so many groups before all meet.
+MERGED_FIRST = 64
 
 
 def unfold(df: DataFrame, array: str, output: str) -> DataFrame:
@@ -92,8 +97,15 @@ def document_frequency(terms: DataFrame, **counts: Column) -> DataFrame:
 
 
 def frequent_terms(terms: DataFrame) -> DataFrame:
-    """(term): the most frequent terms of these documents, whether a vocabulary keeps them or not."""
-    return frequent_keys(document_frequency(terms), "df")
+    """(term): the most frequent terms of these documents, whether a vocabulary keeps them or not.
+
+    Comes from mergeable summaries of fixed size, one for each task, so no term is shuffled. A summary of that size holds
+    every term with a 1/HOT_TERMS of the rows for certain.
+    """
+    rows = term_rows(terms.select("terms")).select("term", F.pmod(F.spark_partition_id(), F.lit(MERGED_FIRST)).alias("_part"))
+    some = rows.groupBy("_part").agg(F.expr(f"approx_top_k_accumulate(term, {HELD_TERMS})").alias("summary"))
+    whole = some.agg(F.expr("approx_top_k_combine(summary)").alias("summary"))
+    return whole.select(F.expr(f"inline(approx_top_k_estimate(summary, {HOT_TERMS}))")).select(F.col("item").alias("term"))
 
 
 def within_limits(df: Column, n_docs: Column | int, min_df: float, max_df: float) -> Column:

@@ -295,9 +295,26 @@ def active_pipeline_export(spark, folder):
 
 
 def svm_grid_search(spark, folder):
-    """Three folds and two values of C; the whole default grid takes 240 fits."""
-    params = {"classifier": ["linearsvc"], "C": [2.0, 3.0], "loss": ["squared_hinge"], "min_df": [2]}
-    return search.run_search(labelled(spark, folder), search.parameter_grid(params), k=3)
+    """The whole default grid, 24 configurations in ten folds."""
+    return search.run_search(labelled(spark, folder), search.parameter_grid(search.DEFAULT_GRID))
+
+
+def best_svm_config(spark, folder):
+    return search.best_configuration(svm_grid_search(spark, folder))
+
+
+def _active_out_of_fold(spark: SparkSession, folder: str) -> DataFrame:
+    """The active pipeline's predictions of the labelled texts, each by the fold that held it out."""
+    folds = training.prepare_folds(labelled(spark, folder), training.TextSettings())
+    return training.out_of_fold(folds, classifiers.ClassifierSettings(loss="hinge", C=3.0, tol=1e-8, min_df=1))
+
+
+def active_cv_f1(spark, folder):
+    return _rounded(evaluation.cross_validation_score(_active_out_of_fold(spark, folder)), "f1_weighted")
+
+
+def active_confusion_matrix(spark, folder):
+    return evaluation.confusion_matrix(_active_out_of_fold(spark, folder))
 
 
 def queries() -> dict[str, Query]:
@@ -356,4 +373,7 @@ def queries() -> dict[str, Query]:
         "param_grid": param_grid,
         "active_pipeline_export": active_pipeline_export,
         "svm_grid_search": svm_grid_search,
+        "best_svm_config": best_svm_config,
+        "active_cv_f1": active_cv_f1,
+        "active_confusion_matrix": active_confusion_matrix,
     }
