@@ -41,10 +41,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from opinia.llm.storage import partitions, written
+from opinia.llm.words import U, blocks, mix, text_bytes, words_of
 from opinia.operators.materialize import checkpoint_folder
 
-# Bytes of text hashed at a time, tokens counted or looked up at a time, and tokens of one shard on the average.
-BLOCK_BYTES = 1 << 20
+# Tokens counted or looked up at a time, and tokens of one shard on the average.
 PART_TOKENS = 1 << 22
 LOOKED_UP = 1 << 20
 SHARD_TOKENS = 1 << 22
@@ -55,26 +55,11 @@ HOT_SAMPLE_BYTES = 1 << 26
 LARGE = 255
 BASE_DISCOUNT = 0.5
 ALPHA = 0.1
-SEED = 42
-U = np.uint64
 BOS, END = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
-SPACES = np.zeros(256, bool)
-SPACES[[0x20, *range(0x09, 0x0E)]] = True
-BYTE_CODES = np.random.default_rng(SEED).integers(0, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
-BYTE_CODES[65:91] = BYTE_CODES[97:123]
-RADIX = 0x5851F42D4C957F2D
-RADIX_INVERSE = pow(RADIX, -1, 1 << 64)
 ARROW = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 SUMS = ["total", "n1", "n2", "n3", "n4", "n5", "preceded"]
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spreads every bit over all bits."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
 def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * U(0xD6E8FEB86659FD93) + mix(second))
 
@@ -84,33 +69,6 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return (((hashes >> U(32)) * U(shards)) >> U(32)).astype(np.int64)
 
 
-@lru_cache(maxsize=1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    def column(base: int) -> np.ndarray:
-        factors = np.full(n, base, np.uint64)
-        factors[:1] = 1
-        return np.cumprod(factors, dtype=np.uint64)
-
-    return column(RADIX), column(RADIX_INVERSE)
-
-
-def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of texts that lie side by side, and the number of words of each; ``starts`` says where they begin."""
-    solid = ~SPACES[data]
-    before = np.concatenate([[False], solid[:-1]])
-    edges = starts[(starts > 0) & (starts < len(data))]
-    before[edges] = False
-    first = np.flatnonzero(solid & ~before)
-    after = np.concatenate([(before & solid)[1:], [False]])
-    last = np.flatnonzero(solid & ~after) + 1
-    powers, inverses = _powers(max(BLOCK_BYTES, len(data)))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * powers[: len(data)], out=sums[1:])
-    hashes = mix((sums[last] - sums[first]) * inverses[first] + (last - first).astype(np.uint64))
-    ends = np.concatenate([starts[1:], [len(data)]])
-    return hashes, np.searchsorted(first, ends) - np.searchsorted(first, starts)
-
-
 @dataclass
 class Grams:
     """Neighbouring tokens of a few texts: ``text`` is the number of the text that a pair belongs to."""
@@ -136,33 +94,15 @@ def _sequence(hashes: np.ndarray, counts: np.ndarray, leads: np.ndarray, ended:
 
 def grams_of(column: pa.Array) -> Iterator[Grams]:
     """The pairs of a column of texts, in blocks of bounded size; texts of any length are cut between words."""
-    column = column.cast(pa.large_string()) if column.null_count == 0 else column.fill_null("").cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    buffer = column.buffers()[2]
-    data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
-    at = 0
-    while at < len(column):
-        low, high = int(offsets[at]), int(offsets[at + 1])
-        if high - low <= BLOCK_BYTES:
-            upto = max(at + 1, int(np.searchsorted(offsets, low + BLOCK_BYTES, side="right")) - 1)
-            hashes, counts = word_hashes(data[low : int(offsets[upto])], offsets[at:upto] - low)
-            n = upto - at
-            yield _sequence(hashes, counts, np.full(n, BOS), np.ones(n, np.int64), np.arange(at, upto))
-            at = upto
-            continue
-        lead = BOS
-        while low < high:
-            cut = min(low + BLOCK_BYTES, high)
-            while cut < high:
-                spaces = np.flatnonzero(SPACES[data[low:cut]])
-                if len(spaces):
-                    cut = low + int(spaces[-1]) + 1
-                    break
-                cut = min(cut + BLOCK_BYTES, high)
-            hashes, counts = word_hashes(data[low:cut], np.zeros(1, np.int64))
-            yield _sequence(hashes, counts, np.array([lead]), np.array([int(cut == high)]), np.array([at]))
-            lead, low = hashes[-1] if len(hashes) else lead, cut
-        at += 1
+    offsets, data = text_bytes(column)
+    lead = BOS
+    for at, upto, low, high, begins, ends in blocks(offsets, data):
+        starts = offsets[at:upto] - low if begins and ends else np.zeros(1, np.int64)
+        hashes, _, _, counts = words_of(data[low:high], starts)
+        n = upto - at
+        leads = np.full(n, BOS if begins else lead)
+        yield _sequence(hashes, counts, leads, np.full(n, int(ends)), np.arange(at, upto))
+        lead = hashes[-1] if len(hashes) else leads[0]
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:

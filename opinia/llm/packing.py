@@ -1,8 +1,7 @@
 """Packing documents into sequences: first-fit decreasing on a tournament tree, in randomised groups.
 
 Documents become ids where their text is; only (document, start, length, checksum) rows travel. A document longer than
-a sequence is cut into full sequences, which need no search, and a remainder. Remainders are dealt into groups by a
-hash, about ``GROUP_PIECES`` each, and each group is packed on its own: pieces in falling order of length, each into the
+a sequence is cut into full sequences and a remainder. Pieces are dealt into groups by a hash, about ``GROUP_PIECES`` each, and each group is packed on its own: pieces in falling order of length, each into the
 first open sequence with room. The tree holds, for every node, the largest free room below it, so the first fitting
 sequence is found by walking down from the root. A group holds only numbers, and the number of groups grows with the
 input, so no task grows. The same rows give the same groups and the same sequences in any run.
@@ -14,29 +13,43 @@ are packed as documents of their own.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
+from opinia.llm.bpe import byte_characters
 from opinia.llm.storage import written
+from opinia.llm.words import blocks, text_bytes, words_of
 
 SEQUENCE = 4096
 END_ID = 2
 # Enough pieces for nearly full sequences, few enough for one small task.
 GROUP_PIECES = 2048
-CACHED_WORDS = 600_000
+# What a worker's memo may hold, with about so many bytes for an entry besides word and code.
+MEMO_BYTES = 48 << 20
+ENTRY_BYTES = 150
 # Longer stretches without a space are not kept.
 LONGEST_CACHED = 64
 MARKS = frozenset(".,;:!?")
-PIECES = "array<struct<start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint>>"
+# Letters whose lower case is not one letter, or depends on what is around them.
+ODD_CASE = frozenset("Σİ")
+PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
+# What all special tokens begin with.
+SPECIAL_MARK = b"<|"
 
 
 class WordEncoder:
-    """A tokenizers file asked word by word: its results for words between spaces are kept as packed bytes."""
+    """A tokenizers file asked once for each different word: its results for words between spaces are kept as packed bytes,
+    by a 64-bit hash of the word."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,46 +59,103 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.marks = {"": b""} | {mark: self.whole(mark) for mark in MARKS}
-        self.memo: dict[str, bytes] = {}
+        self.byte_characters = byte_characters()
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.memo: dict[int, bytes] = {}
+        self.held = 0
+        if not all(s.startswith(SPECIAL_MARK.decode()) for s in self.specials):
+            raise ValueError("special tokens of another kind")
 
     def whole(self, text: str) -> bytes:
         return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
-    def packed(self, text: str | None) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if any(s in text for s in self.specials):
-            return self.whole(text)
-        memo, words = self.memo, text.split(" ")
-        try:
-            return b"".join([memo[w] for w in words])
-        except KeyError:
-            pass
-        if len(memo) > CACHED_WORDS:
-            memo.clear()
+    def letters(self, word: str) -> bytes | None:
+        """Ids of a word of letters, which the model can be asked for as it is; None for any other word."""
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            known = word.lower()
+        elif unicodedata.is_normalized("NFC", word) and ODD_CASE.isdisjoint(word):
+            characters = self.byte_characters
+            known = "".join([characters[b] for b in word.lower().encode("utf-8", "surrogatepass")])
+        else:
+            return None
+        packed = self.id_bytes
+        return b"".join([packed[t.id] for t in self.model.tokenize(known)])
+
+    def new_codes(self, words: list[str]) -> list[bytes]:
+        """Ids of words that white space cuts off."""
+        found: list[bytes | None] = []
         odd = []
         for word in words:
-            if word not in memo:
-                bare, mark = (word[:-1], word[-1]) if word[-1:] in MARKS else (word, "")
-                if bare.isascii() and bare.isalpha():
-                    # A word of ASCII letters and a mark behind it never join: straight to the model, in lower case.
-                    code = memo.get(bare := bare.lower())
-                    if code is None:
-                        code = memo[bare] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(bare)])
-                    memo[word] = code + self.marks[mark]
-                else:
-                    odd.append(word)
+            # A mark behind a word of letters never joins it.
+            bare, mark = (word[:-1], word[-1]) if word[-1:] in MARKS else (word, "")
+            code = self.letters(bare) if bare else b""
+            if code is None:
+                odd.append(word)
+            found.append(None if code is None else code + self.marks[mark])
         if odd:
             # The rest all at once, as the call costs more than the word.
-            odd = list(set(odd))
-            codes = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
-            memo.update(zip(odd, [b"".join([i.to_bytes(4, "little") for i in c.ids]) for c in codes]))
-        data = b"".join([memo[w] for w in words])
-        for word in odd:
-            if len(word) > LONGEST_CACHED:
-                del memo[word]
-        return data
+            rest = iter(self.tokenizer.encode_batch_fast(odd, add_special_tokens=False))
+            found = [b"".join([self.id_bytes[i] for i in next(rest).ids]) if c is None else c for c in found]
+        return found
+
+    def codes(self, data: np.ndarray, hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Ids of different words of ``data``, from the memo where it has them."""
+        memo, keys = self.memo, hashes.tolist()
+        found = list(map(memo.get, keys))
+        missing = [k for k, code in enumerate(found) if code is None]
+        if missing:
+            whole = data.tobytes()
+            spans = zip(first[missing].tolist(), last[missing].tolist())
+            fresh = self.new_codes([whole[a:b].decode("utf-8", "surrogatepass") for a, b in spans])
+            for k, code in zip(missing, fresh):
+                found[k] = code
+            kept = {keys[k]: code for k, code in zip(missing, fresh) if last[k] - first[k] <= LONGEST_CACHED}
+            self.held += sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
+            if self.held > MEMO_BYTES:
+                memo.clear()
+                self.held = 0
+            memo.update(kept)
+        return found
+
+    def block(self, data: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """Ids of texts that lie side by side, as little-endian unsigned 32-bit numbers."""
+        hashes, first, last, counts = words_of(data, starts)
+        # Long words are not trusted to a hash: they get one of their own.
+        long_ = np.flatnonzero(last - first > LONGEST_CACHED)
+        hashes[long_] = np.arange(len(long_), dtype=np.uint64)
+        _, chosen, at = np.unique(hashes, return_index=True, return_inverse=True)
+        codes = self.codes(data, hashes[chosen], first[chosen], last[chosen])
+        sizes = np.array([len(c) for c in codes], np.int64) // 4
+        ids = np.frombuffer(b"".join(codes), np.uint32)
+        begin, size = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        ends = np.cumsum(size)
+        # Each word's ids, from where its code begins.
+        ids = ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def packed(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of every text of a column."""
+        offsets, data = text_bytes(column)
+        parts: list[bytes] = []
+        for at, upto, low, high, begins, ends in blocks(offsets, data):
+            part = data[low:high]
+            if begins and ends:
+                found = self.block(part, offsets[at:upto] - low)
+                if SPECIAL_MARK in part.tobytes():
+                    # Special tokens written in a text may have no white space around them.
+                    for k, text in enumerate(column[at:upto].to_pylist()):
+                        if text and any(s in text for s in self.specials):
+                            found[k] = self.whole(text)
+                yield from found
+                continue
+            parts = [] if begins else parts
+            parts += self.block(part, np.zeros(1, np.int64))
+            if ends:
+                text = column[at].as_py()
+                yield self.whole(text) if any(s in text for s in self.specials) else b"".join(parts)
 
 
 @lru_cache(maxsize=4)
@@ -104,16 +174,22 @@ def pieces(docs: DataFrame, path: str, text: str = "text", sequence: int = SEQUE
             for start in range(0, n, sequence)
         ]
 
-    @F.pandas_udf(PIECES)
-    def cut_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *StructType.fromDDL(PIECE).fields])
+    arrow = to_arrow_schema(schema)
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = word_encoder(path)
         for batch in batches:
-            yield pd.Series([
-                [dict(zip(("start", "length", "ids_crc32", "doc_tokens"), p)) for p in cut(own.packed(t) + end)]
-                for t in batch
-            ])
-
-    return docs.select("doc_id", F.inline(cut_up(F.col(text))))
+            places, rows = [], []
+            for k, data in enumerate(own.packed(batch.column(1))):
+                found = cut(data + end)
+                places += [k] * len(found)
+                rows += found
+            columns = [batch.column(0).take(pa.array(places, pa.int64())), *[pa.array(c, pa.int64()) for c in zip(*rows)]]
+            if rows:
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return docs.select("doc_id", text).mapInArrow(cut_up, schema)
 
 
 class Rooms:
