@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opinia.llm import jaccard, language, packing, pii, quality
+from opinia.llm import language, packing, pii, quality, simhash
 from opinia.llm.catalog import vocabulary
 from opinia.llm.storage import documents, written
 
@@ -25,8 +25,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose five-word shingles are 0.8 or more like those of an earlier one go."""
-    return jaccard.one_of_each(docs)
+    """One document of each group whose fingerprints link at three or fewer differing bits stays."""
+    return simhash.one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
