@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinia.functions.fixed_values import EMOJI_STAND_INS
-from opinia.functions.stop_words import stop_words_frame
+from opinia.functions.stop_words import stop_word_list, stop_words_frame
 from opinia.functions.text import LEGACY, TokenizerConfig
 from opinia.operators import (
     classifiers,
@@ -22,11 +23,11 @@ from opinia.operators import (
     selection,
     terms,
 )
-from opinia.operators.materialize import materialize
+from opinia.operators.materialize import checkpoint_folder, materialize
 from opinia.plans import search, training
 from opinia.plans.parameters import GIVEN_WORDS, GRID
-from opinia.sources.readers import corpus, labelled, table, unlabelled
-from opinia.sources.writers import prediction_export
+from opinia.sources.readers import corpus, labelled, read_development_csv, read_evaluation_csv, table, unlabelled
+from opinia.sources.writers import prediction_export, write_experiment_log, write_itemsets_csv, write_reviews_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 BOTH = (1, 2)
@@ -317,6 +318,45 @@ def active_confusion_matrix(spark, folder):
     return evaluation.confusion_matrix(_active_out_of_fold(spark, folder))
 
 
+def _sink(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, which driver and executors share."""
+    return f"{checkpoint_folder(spark)}/sink-{uuid.uuid4().hex}"
+
+
+def development_csv(spark, folder):
+    """The labelled texts written as CSV and read back."""
+    path = _sink(spark)
+    write_reviews_csv(labelled(spark, folder), path)
+    return read_development_csv(spark, path).select("doc_id", "text", "class")
+
+
+def evaluation_csv(spark, folder):
+    path = _sink(spark)
+    write_reviews_csv(unlabelled(spark, folder), path)
+    return read_evaluation_csv(spark, path).select("doc_id", "text")
+
+
+def itemset_sink(spark, folder):
+    """Frequent itemsets written as CSV and read back."""
+    path = _sink(spark)
+    write_itemsets_csv(explore.frequent_itemsets(corpus(spark, folder), 0.2), path)
+    return _rounded(spark.read.csv(path, schema="support double, itemsets string", header=True), "support")
+
+
+def experiment_log_sink(spark, folder):
+    """The log of a search, appended configuration by configuration, and read back."""
+    path, log = _sink(spark), materialize(grid_search(spark, folder))
+    for i, (kind, max_df, min_df) in enumerate(GRID):
+        write_experiment_log(log.where(F.col("config_id") == i), path, append=i > 0)
+    schema = "CONFIG_ID int, CLASSIFIER string, MAX_DF double, MIN_DF double, F1_WEIGHTED double"
+    return _rounded(spark.read.csv(path, schema=schema, header=True), "F1_WEIGHTED")
+
+
+def tokens_second_removal(spark, folder):
+    """Tokens without the listed stop words, then without all of them."""
+    return _flat(terms.drop_words(terms.tokenize(corpus(spark, folder)), stop_word_list()))
+
+
 def queries() -> dict[str, Query]:
     return {
         "class_counts": class_counts,
@@ -374,6 +414,11 @@ def queries() -> dict[str, Query]:
         "active_pipeline_export": active_pipeline_export,
         "svm_grid_search": svm_grid_search,
         "best_svm_config": best_svm_config,
+        "development_csv": development_csv,
+        "evaluation_csv": evaluation_csv,
+        "itemset_sink": itemset_sink,
+        "experiment_log_sink": experiment_log_sink,
+        "tokens_second_removal": tokens_second_removal,
         "active_cv_f1": active_cv_f1,
         "active_confusion_matrix": active_confusion_matrix,
     }

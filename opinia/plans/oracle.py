@@ -304,6 +304,12 @@ SELECT q.grp AS "group", q1::DOUBLE AS q1, median::DOUBLE AS median, q3::DOUBLE
 FROM q JOIN l ON q.grp = l.grp GROUP BY q.grp, q1, median, q3""",
         "tokens_clean": f"SELECT doc_id, array_to_string({_tokens()}, ' ') AS tokens, len({_tokens()})::INTEGER AS n FROM documents",
         "tokens_all_stop_words": f"SELECT doc_id, array_to_string({_tokens(stop_words=STOP_WORDS)}, ' ') AS tokens FROM documents",
+        "tokens_second_removal": f"SELECT doc_id, array_to_string({_tokens(stop_words=STOP_WORDS)}, ' ') AS tokens FROM documents",
+        "development_csv": f"WITH {DEV} SELECT doc_id, text, class FROM dev",
+        "evaluation_csv": f"WITH {EVA} SELECT doc_id, text FROM eva",
+        "itemset_sink": f"SELECT items AS itemsets, support FROM ({ITEMSETS})",
+        "experiment_log_sink": f"""SELECT config_id AS "CONFIG_ID", classifier AS "CLASSIFIER", max_df AS "MAX_DF", min_df AS "MIN_DF",
+  f1_weighted AS "F1_WEIGHTED" FROM ({_grid(GRID)})""",
         "tokens_legacy": f"SELECT doc_id, array_to_string({_legacy_tokens()}, ' ') AS tokens FROM documents",
         "emoji_tokens": f"SELECT doc_id, array_to_string({_tokens(with_emoji_sql())}, ' ') AS tokens FROM documents",
         "stop_word_occurrences": f"""WITH t AS (SELECT unnest({_tokens(stop_words=None)}) AS word FROM documents)
