@@ -12,11 +12,11 @@ import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    LinearSVC,
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IndexToString, Normalizer, StringIndexerModel
+from pyspark.ml.feature import IndexToString, StringIndexerModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import SparseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +28,14 @@ from opinia.operators.linear import DRIVER_WEIGHTS, fit_squared_hinge, fit_squar
 from opinia.operators.lookup import lookup_terms
 from opinia.operators.materialize import materialize, shrink_partitions
 from opinia.operators.neighbours import knn_predict
-from opinia.operators.reduction import ROWS_PER_PARTITION, fit_svd
+from opinia.operators.reduction import fit_svd
 from opinia.operators.scaling import SCALERS
+from opinia.operators.sgd import fit_sgd
 from opinia.operators.terms import frequent_terms, term_rows, tfidf_vectors
 
 BAYES = {"multinomialnb": "multinomial", "complementnb": "complement", "gaussiannb": "gaussian"}
+# A pass over fewer rows than this is not worth another task.
+ROWS_PER_PARTITION = 2000
 CLASSIFIERS = [*BAYES, "linearsvc", "sgd", "randomforest", "decisiontree", "knn"]
 
 
@@ -145,16 +148,15 @@ class WeightModel:
 
 @dataclass
 class VectorModel:
-    """A fitted pyspark.ml pipeline on sparse vectors."""
+    """Fitted pyspark.ml stages on vectors; ``featurise`` turns doc_terms into them."""
 
     words: DataFrame
-    size: int
+    featurise: Callable[[DataFrame], DataFrame]
     stages: Any
 
     def predict(self, terms: DataFrame) -> DataFrame:
         kept = [c for c in terms.columns if c != "terms"]
-        scored = self.stages.transform(sparse_features(terms, self.words, self.size))
-        return scored.select(*kept, "predicted")
+        return self.stages.transform(self.featurise(terms)).select(*kept, "predicted")
 
 
 def _estimator(settings: ClassifierSettings, features: str, n_docs: int):
@@ -162,15 +164,6 @@ def _estimator(settings: ClassifierSettings, features: str, n_docs: int):
     name = settings.classifier
     if name in BAYES:
         return NaiveBayes(modelType=BAYES[name], smoothing=1.0, **columns)
-    if name == "linearsvc":
-        # liblinear sums losses with factor C, ml averages them and weighs the penalty.
-        return LinearSVC(
-            regParam=1.0 / (settings.C * n_docs), standardization=False, maxIter=settings.max_iter, tol=settings.tol, **columns,
-        )
-    if name == "sgd":
-        return LinearSVC(
-            regParam=settings.alpha, standardization=False, maxIter=settings.max_iter, tol=settings.tol, **columns
-        )
     if name == "randomforest":
         return RandomForestClassifier(
             numTrees=settings.trees, featureSubsetStrategy="sqrt", maxDepth=settings.max_depth, seed=settings.seed,
@@ -205,6 +198,9 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
         fitted = fit_margins(sparse_rows(terms, words), n_docs, classes[-1], [Margin(settings.C, settings.loss)])
         weights = materialize(fitted.weights().select("idx", F.col("w")[0].alias("w")))
         return WeightModel(_unscaled(words.join(weights, "idx")), weights.where("idx = -1").first()["w"], *classes)
+    if name == "sgd" and settings.svd_components is None:
+        fitted = fit_sgd(sparse_rows(terms, words), classes[-1], settings.alpha, settings.max_iter, seed=settings.seed)
+        return WeightModel(_unscaled(words.join(fitted.weights, "idx")), fitted.intercept, *classes)
     if name == "linearsvc" and settings.loss == "squared_hinge" and plain:
         if size > DRIVER_WEIGHTS:
             weights, intercept = fit_squared_hinge_table(tfidf_vectors(terms, words), **options)
@@ -213,29 +209,48 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
             fitted = fit_squared_hinge(sparse_rows(terms, words), size, **options)
             table, intercept = _weight_table(words, fitted.weights), fitted.intercept
         return WeightModel(table.withColumn("shift", F.lit(0.0)), intercept, *classes)
-    features = sparse_features(terms, words, size)
-    stages, column = [], "features"
+    projection = None
     if settings.svd_components is not None:
         # Replaces the scaler.
-        stages += [fit_svd(features, settings.svd_components, size), Normalizer(p=2.0, inputCol="reduced", outputCol="unit")]
-        column = "unit"
+        projection = fit_svd(sparse_rows(terms, words), settings.svd_components)
+
+    def featurise(found: DataFrame) -> DataFrame:
+        return sparse_features(found, words, size) if projection is None else _unit_features(found, projection.reduce(sparse_rows(found, words)))
+
     # Iterative fits read the features many times.
-    features = shrink_partitions(materialize(features), ROWS_PER_PARTITION)
+    features = shrink_partitions(materialize(featurise(terms)), ROWS_PER_PARTITION)
     names = IndexToString(inputCol="prediction", outputCol="predicted", labels=classes)
-    if name == "knn" or (name == "linearsvc" and settings.loss == "squared_hinge"):
-        prepared = Pipeline(stages=stages).fit(features)
-        rows = _arrays(prepared.transform(features), column)
-        if name == "knn":
-            return NeighbourModel(
-                rows, lambda t: _arrays(prepared.transform(sparse_features(t, words, size)), column), settings.neighbours
-            )
-        width = size if settings.svd_components is None else min(settings.svd_components, size)
-        fitted = fit_squared_hinge(rows, width, **options)
-        plane = Hyperplane(column, fitted.weights, fitted.intercept)
-        return VectorModel(words, size, PipelineModel([*prepared.stages, plane, names]))
+    if name == "knn":
+        return NeighbourModel(_arrays(features, "features"), lambda t: _arrays(featurise(t), "features"), settings.neighbours)
+    if name in ("linearsvc", "sgd"):
+        width = size if projection is None else len(projection.values)
+        rows = _arrays(features, "features")
+        # Where these do not stay a table there are as many weights as components.
+        weights = np.zeros(width)
+        if name == "sgd":
+            fitted = fit_sgd(rows, classes[-1], settings.alpha, settings.max_iter, seed=settings.seed)
+            for r in fitted.weights.collect():
+                weights[r["idx"]] = r["w"]
+            plane = Hyperplane("features", weights, fitted.intercept)
+        elif settings.penalty == "l2":
+            found = {r["idx"]: r["w"][0] for r in fit_margins(rows, n_docs, classes[-1], [Margin(settings.C, settings.loss)]).weights().collect()}
+            intercept = found.pop(-1)
+            weights[list(found)] = list(found.values())
+            plane = Hyperplane("features", weights, intercept)
+        else:
+            fitted = fit_squared_hinge(rows, width, **options)
+            plane = Hyperplane("features", fitted.weights, fitted.intercept)
+        return VectorModel(words, featurise, PipelineModel([plane, names]))
     indexer = StringIndexerModel.from_labels(classes, inputCol="class", outputCol="label")
-    fitted = Pipeline(stages=[*stages, _estimator(settings, column, n_docs)]).fit(indexer.transform(features))
-    return VectorModel(words, size, PipelineModel([*fitted.stages, names]))
+    fitted = Pipeline(stages=[_estimator(settings, "features", n_docs)]).fit(indexer.transform(features))
+    return VectorModel(words, featurise, PipelineModel([*fitted.stages, names]))
+
+
+def _unit_features(terms: DataFrame, reduced: DataFrame) -> DataFrame:
+    """doc_terms -> (doc_id, ..., features): projected rows, brought to length one."""
+    length = F.sqrt(F.aggregate("reduced", F.lit(0.0), lambda total, x: total + x * x))
+    unit = reduced.withColumn("_length", length).select("doc_id", F.transform("reduced", lambda x: F.when(F.col("_length") > 0, x / F.col("_length")).otherwise(0.0)).alias("unit"))
+    return terms.drop("terms").join(unit, "doc_id").withColumn("features", array_to_vector("unit")).drop("unit")
 
 
 def _unscaled(words: DataFrame) -> DataFrame:

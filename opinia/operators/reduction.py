@@ -1,59 +1,265 @@
-"""Fewer, dense features: truncated SVD (latent semantic analysis) and PCA."""
+"""Fewer, dense features: randomised truncated SVD (latent semantic analysis) and PCA, on sparse rows of any size.
+
+Block power iteration with a random start: the range of A is caught by Y = A Omega, and a few rounds of Z = A' Y, Y = A Z
+turn it to the leading singular vectors. Documents are dealt into blocks, which hold their rows of A and of Y; rows of Z,
+one for each term, lie in shards by term number. A block keeps the rows of terms that no other block has, and swaps
+the others with their shards. Y is made orthonormal through its Gram matrix (columns x columns, summed up over the blocks),
+which is all that the driver ever sees, besides sums over columns. Omega comes from hashes of term numbers, so it needs no
+storage and a task that is run again gets the same.
+
+PCA is the same on centred columns, without ever making them dense: A - 1 m' times Z is A Z less a row m' Z, and its transpose
+times Y is A' Y less m times the column sums of Y.
+"""
 
 from __future__ import annotations
 
+import pickle
+from dataclasses import dataclass
+
 import numpy as np
-from pyspark.ml import Transformer
-from pyspark.ml.feature import PCA
-from pyspark.ml.linalg import DenseVector, VectorUDT
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinia.operators.materialize import materialize, shrink_partitions
+from opinia.operators.blocks import MESSAGE, Rows, dealt_rows, frame, kinds_of, message, packed_rows
+from opinia.operators.materialize import materialize
+
+ITERATIONS = 5
+# Columns more than asked for.
+OVERSAMPLED = 10
+BLOCK_DOCS = 1024
+SHARD_TERMS = 1 << 16
+# Directions weaker than this, against the strongest, are noise.
+RANK = 1e-12
+MERGED_FIRST = 64
+def random_rows(terms: np.ndarray, columns: int, seed: int) -> np.ndarray:
+    """Normal deviates that depend on term number, column and seed alone."""
+
+    def uniform(salt: int) -> np.ndarray:
+        x = terms.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(columns, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        x = x + np.uint64((seed * 2 + salt + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) * 2.0**-53
+
+    return np.sqrt(-2.0 * np.log1p(-uniform(0))) * np.cos(2 * np.pi * uniform(1))
+
+
+def _number_of_blocks(rows: DataFrame) -> int:
+    return -(-max(rows.count(), 1) // BLOCK_DOCS)
+
+
+def _whitening(gram: np.ndarray) -> np.ndarray:
+    """Turns columns with that Gram matrix into orthonormal ones; directions that are not there become zero."""
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    kept = values > RANK * max(values.max(), 0.0)
+    return vectors * np.where(kept, 1.0 / np.sqrt(np.where(kept, values, 1.0)), 0.0)
+
+
+@dataclass
+class Projection:
+    """The leading right singular vectors, in shards (names, vectors), their singular values, and for PCA what the mean
+    document is projected to."""
+
+    shards: DataFrame
+    n_shards: int
+    values: np.ndarray
+    mean: np.ndarray
+
+    def components(self) -> DataFrame:
+        """(idx, v array<double>): a row for every term, signs are arbitrary."""
+
+        def rows(part: pd.DataFrame) -> pd.DataFrame:
+            names, vectors = pickle.loads(part["payload"].iloc[0])
+            return pd.DataFrame({"idx": names, "v": pd.Series(list(vectors), dtype=object)})
+
+        return self.shards.groupBy("target").applyInPandas(rows, "idx long, v array<double>")
+
+    def reduce(self, rows: DataFrame) -> DataFrame:
+        """(doc_id, reduced array<double>) of sparse rows; unknown terms do not count."""
+        n_shards, mean, blocks = self.n_shards, self.mean, _number_of_blocks(rows)
+
+        def packed(part: pd.DataFrame) -> pd.DataFrame:
+            block, found = int(part["block"].iloc[0]), packed_rows(part)
+            out = [message(block, "rows", 0, found.packed())]
+            for s in range(n_shards):
+                asked = found.terms[found.terms % n_shards == s]
+                if len(asked):
+                    out.append(message(s, "ask", block, asked))
+            return frame(out)
+
+        def told(part: pd.DataFrame) -> pd.DataFrame:
+            kinds = kinds_of(part)
+            out = []
+            for _, (names, vectors) in kinds.get("vectors", []):
+                for source, asked in kinds.get("ask", []):
+                    known = asked[np.isin(asked, names)]
+                    out.append(message(source, "reply", int(part["target"].iloc[0]), (known, vectors[np.searchsorted(names, known)])))
+            return frame(out)
+
+        def projected(part: pd.DataFrame) -> pd.DataFrame:
+            kinds = kinds_of(part)
+            found = Rows(*kinds["rows"][0][1])
+            factor = np.zeros((len(found.terms), len(mean)))
+            for _, (names, vectors) in kinds.get("reply", []):
+                factor[np.searchsorted(found.terms, names)] = vectors
+            return pd.DataFrame({"doc_id": found.ids, "reduced": pd.Series(list(found.times(factor) - mean), dtype=object)})
+
+        dealt = materialize(dealt_rows(rows, blocks).applyInPandas(packed, MESSAGE))
+        replies = self.shards.unionByName(dealt.where("kind = 'ask'")).groupBy("target").applyInPandas(told, MESSAGE)
+        return dealt.where("kind = 'rows'").unionByName(replies).groupBy("target").applyInPandas(projected, "doc_id long, reduced array<double>")
+
+
+def fit_svd(rows: DataFrame, components: int, centred: bool = False, iterations: int = ITERATIONS, seed: int = 17) -> Projection:
+    """The leading right singular vectors of sparse rows (doc_id, indices, values); with ``centred`` of the centred rows, which
+    are the principal axes. No more of them than there are documents."""
+    rows = materialize(rows.select("doc_id", "indices", "values"))
+    n_docs = max(rows.count(), 1)
+    blocks = _number_of_blocks(rows)
+    n_terms = rows.select(F.explode("indices").alias("t")).agg(F.max("t").alias("m")).first()["m"]
+    n_shards = ((n_terms or 0) + 1) // SHARD_TERMS + 1
+    kept = min(components, n_docs)
+    width = min(kept + OVERSAMPLED, n_docs)
+
+    def shared_out(block: int, found: Rows, places: np.ndarray, content, kind: str) -> list[tuple]:
+        """One message to each shard with these terms and their rows of ``content``."""
+        out = []
+        for s in range(n_shards):
+            at = places[found.terms[places] % n_shards == s]
+            if len(at):
+                out.append(message(s, kind, block, (found.terms[at], content[at])))
+        return out
+
+    def begin(part: pd.DataFrame) -> pd.DataFrame:
+        block, found = int(part["block"].iloc[0]), packed_rows(part)
+        start = found.times(random_rows(found.terms, width, seed))
+        out = [message(block, "rows", 0, found.packed()), message(block, "state", 0, start), message(block, "sums", block, (start.T @ start, start.sum(axis=0)))]
+        return frame(out + shared_out(block, found, np.arange(len(found.terms)), found.sums(), "hello"))
+
+    def greet(part: pd.DataFrame) -> pd.DataFrame:
+        """A shard learns which of its terms several blocks have, and the means of those."""
+        hellos, shard = kinds_of(part)["hello"], int(part["target"].iloc[0])
+        names, at, counts = np.unique(np.concatenate([n for _, (n, _) in hellos]), return_inverse=True, return_counts=True)
+        means = np.bincount(at, np.concatenate([s for _, (_, s) in hellos]), len(names)) / n_docs
+        out = [message(shard, "terms", 0, (names[counts > 1], means[counts > 1]))]
+        for source, (asked, _) in hellos:
+            out.append(message(source, "known", shard, asked[counts[np.searchsorted(names, asked)] > 1]))
+        return frame(out)
+
+    def block_of(kinds: dict) -> tuple[Rows, np.ndarray, np.ndarray]:
+        found = Rows(*kinds["rows"][0][1])
+        several = np.zeros(len(found.terms), bool)
+        for _, names in kinds.get("known", []):
+            several[np.searchsorted(found.terms, names)] = True
+        return found, several, found.sums() / n_docs if centred else np.zeros(len(found.terms))
+
+    def down(white: np.ndarray, column_sums: np.ndarray):
+        """Blocks: Z = A' Q, own rows finished, shared ones sent."""
+
+        def step(part: pd.DataFrame) -> pd.DataFrame:
+            kinds, block = kinds_of(part), int(part["target"].iloc[0])
+            found, several, means = block_of(kinds)
+            z = found.transposed_times(kinds["state"][0][1] @ white)
+            own = np.flatnonzero(~several)
+            mine = z[own] - means[own, None] * column_sums
+            out = [message(block, "own", 0, mine), message(block, "sums", block, (mine.T @ mine, means[own] @ mine))]
+            return frame(out + shared_out(block, found, np.flatnonzero(several), z, "part"))
+
+        return step
+
+    def added(column_sums: np.ndarray):
+        """Shards: sum up, centre, answer."""
+
+        def step(part: pd.DataFrame) -> pd.DataFrame:
+            kinds, shard = kinds_of(part), int(part["target"].iloc[0])
+            names, means = kinds["terms"][0][1]
+            means = means if centred else np.zeros(len(names))
+            z = np.zeros((len(names), width))
+            for _, (sent, values) in kinds.get("part", []):
+                z[np.searchsorted(names, sent)] += values
+            z -= means[:, None] * column_sums
+            out = [message(source, "reply", shard, (sent, z[np.searchsorted(names, sent)])) for source, (sent, _) in kinds.get("part", [])]
+            out += [message(shard, "factor", 0, (names, z)), message(shard, "sums", blocks + shard, (z.T @ z, means @ z))]
+            return frame(out)
+
+        return step
+
+    def up(mean_row: np.ndarray):
+        """Blocks: Y = A Z, less the mean's row."""
+
+        def step(part: pd.DataFrame) -> pd.DataFrame:
+            kinds, block = kinds_of(part), int(part["target"].iloc[0])
+            found, several, _ = block_of(kinds)
+            z = np.zeros((len(found.terms), width))
+            z[~several] = kinds["own"][0][1]
+            for _, (names, values) in kinds.get("reply", []):
+                z[np.searchsorted(found.terms, names)] = values
+            y = found.times(z) - mean_row
+            return frame([message(block, "state", 0, y), message(block, "sums", block, (y.T @ y, y.sum(axis=0)))])
 
-# Entries of the terms x components matrix, which driver and executors hold: 8 bytes each.
-PROJECTION_ENTRIES = 250_000_000
-# PCA holds a dense covariance matrix of this many columns squared.
-PCA_COLUMNS = 8_000
-# A pass over fewer rows than this is not worth another task.
-ROWS_PER_PARTITION = 2000
+        return step
 
+    def sums(*messages: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of (columns x columns, columns): added up in groups first, one row comes to the driver."""
 
-class Projection(Transformer):
-    """features -> reduced: the vector times the terms x components matrix."""
+        def total(part: pd.DataFrame) -> pd.DataFrame:
+            found = [pickle.loads(p) for p in part["payload"]]
+            return frame([message(0, "sums", 0, (sum(g for g, _ in found), sum(s for _, s in found)))])
 
-    def __init__(self, matrix: np.ndarray):
-        super().__init__()
-        self.matrix = matrix
+        every = messages[0].where("kind = 'sums'")
+        for more in messages[1:]:
+            every = every.unionByName(more.where("kind = 'sums'"))
+        some = every.groupBy(F.pmod("source", F.lit(MERGED_FIRST))).applyInPandas(total, MESSAGE)
+        row = some.groupBy("target").applyInPandas(total, MESSAGE).first()
+        return pickle.loads(row["payload"]) if row is not None else (np.zeros((width, width)), np.zeros(width))
 
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        shared = dataset.sparkSession.sparkContext.broadcast(self.matrix)
+    def grouped(*messages: DataFrame):
+        every = messages[0]
+        for more in messages[1:]:
+            every = every.unionByName(more)
+        return every.groupBy("target")
 
-        @F.udf(returnType=VectorUDT(), useArrow=True)
-        def project(vector):
-            return DenseVector(vector.values @ shared.value[vector.indices])
+    first = materialize(dealt_rows(rows, blocks).applyInPandas(begin, MESSAGE))
+    greeted = materialize(first.where("kind = 'hello'").groupBy("target").applyInPandas(greet, MESSAGE))
+    fixed = first.where("kind = 'rows'").unionByName(greeted.where("kind = 'known'"))
+    state = first
+    for iteration in range(iterations + 1):
+        gram, column_sums = sums(state)
+        white = _whitening(gram)
+        turned = column_sums @ white if centred else np.zeros(width)
+        sent = materialize(grouped(fixed, state.where("kind = 'state'")).applyInPandas(down(white, turned), MESSAGE))
+        held = materialize(grouped(greeted.where("kind = 'terms'"), sent.where("kind = 'part'")).applyInPandas(added(turned), MESSAGE))
+        gram, mean_row = sums(sent, held)
+        if iteration < iterations:
+            answered = grouped(fixed, sent.where("kind = 'own'"), held.where("kind = 'reply'"))
+            state = materialize(answered.applyInPandas(up(mean_row if centred else np.zeros(width)), MESSAGE))
+    squares, turn = np.linalg.eigh((gram + gram.T) / 2)
+    order = np.argsort(-squares)[:kept]
+    values = np.sqrt(np.maximum(squares[order], 0.0))
+    strong = values > np.sqrt(RANK) * max(values.max(initial=0.0), 0.0)
+    turn = turn[:, order] * np.where(strong, 1.0 / np.where(strong, values, 1.0), 0.0)
 
-        return dataset.withColumn("reduced", project("features"))
+    def own_vectors(part: pd.DataFrame) -> pd.DataFrame:
+        kinds, block = kinds_of(part), int(part["target"].iloc[0])
+        found, several, _ = block_of(kinds)
+        own = np.flatnonzero(~several)
+        whole = np.zeros((len(found.terms), kept))
+        whole[own] = kinds["own"][0][1] @ turn
+        return frame(shared_out(block, found, own, whole, "vectors"))
 
+    def vectors(part: pd.DataFrame) -> pd.DataFrame:
+        """A shard's terms, from blocks and from itself."""
+        kinds = kinds_of(part)
+        found = [content for _, content in kinds.get("vectors", [])] + [(names, z @ turn) for _, (names, z) in kinds.get("factor", [])]
+        names, rows_ = (np.concatenate(c) for c in zip(*found))
+        order_ = np.argsort(names)
+        return frame([message(int(part["target"].iloc[0]), "vectors", 0, (names[order_], rows_[order_]))])
 
-def fit_svd(features: DataFrame, components: int, size: int) -> Projection:
-    """The leading right singular vectors of the document matrix. Their signs are arbitrary."""
-    components = min(components, size)
-    if components * size > PROJECTION_ENTRIES:
-        raise ValueError("terms x components is too large; prune the vocabulary (min_df, max_features) first")
-    # The solver passes over the rows many times: written out once, then read without any Python in between.
-    rows = shrink_partitions(materialize(features.select("features")), ROWS_PER_PARTITION)
-    rows = MLUtils.convertVectorColumnsFromML(rows, "features").persist()
-    try:
-        return Projection(RowMatrix(rows, numCols=size).computeSVD(components).V.toArray())
-    finally:
-        rows.unpersist()
+    lone = grouped(fixed, sent.where("kind = 'own'")).applyInPandas(own_vectors, MESSAGE)
+    shards = materialize(grouped(lone, held.where("kind = 'factor'")).applyInPandas(vectors, MESSAGE))
+    return Projection(shards, n_shards, values, mean_row @ turn if centred else np.zeros(kept))
 
 
-def fit_pca(features: DataFrame, components: int, size: int):
-    """features -> reduced by principal components; for vocabularies pruned to a few thousand terms."""
-    if size > PCA_COLUMNS:
-        raise ValueError("too many columns for a dense covariance matrix; prune the vocabulary first")
-    return PCA(k=min(components, size), inputCol="features", outputCol="reduced").fit(features)
+def fit_pca(rows: DataFrame, components: int, iterations: int = ITERATIONS, seed: int = 17) -> Projection:
+    """Principal axes of sparse rows, on the whole vocabulary."""
+    return fit_svd(rows, components, True, iterations, seed)

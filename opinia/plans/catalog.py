@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -199,23 +198,34 @@ def _classifier(**settings) -> Query:
     return query
 
 
-def _reduced(features: DataFrame, stage) -> DataFrame:
-    dense = stage.transform(features)
-    return dense.select("doc_id", vector_to_array("reduced").alias("reduced"))
+COMPONENTS = 400
+
+
+def _vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Unit TF-IDF rows of the labelled texts."""
+    counted = materialize(_dev_terms(spark, folder))
+    return features.sparse_rows(counted, features.fit_vectoriser(counted, 0.5, 2))
 
 
 def lsa_features(spark, folder):
-    counted = _dev_terms(spark, folder)
-    words = features.fit_vectoriser(counted, 0.5, 2)
-    vectors = features.sparse_features(counted, words, words.count())
-    return _reduced(vectors, reduction.fit_svd(vectors, 20, words.count()))
+    """Labelled texts on their 400 leading singular vectors, brought to length one. Signs are arbitrary."""
+    rows = materialize(_vectors(spark, folder))
+    reduced = reduction.fit_svd(rows, COMPONENTS).reduce(rows)
+    length = F.sqrt(F.aggregate("reduced", F.lit(0.0), lambda total, x: total + x * x))
+    unit = F.transform("reduced", lambda x: F.when(F.col("length") > 0, x / F.col("length")).otherwise(0.0))
+    return reduced.withColumn("length", length).select("doc_id", unit.alias("reduced"))
+
+
+def singular_values(spark, folder):
+    """The 400 largest singular values of the labelled texts' TF-IDF matrix."""
+    values = reduction.fit_svd(_vectors(spark, folder), COMPONENTS).values
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "component int, value double")
 
 
 def pca_features(spark, folder):
-    counted = _dev_terms(spark, folder)
-    words = features.fit_vectoriser(counted, 0.5, 2, max_features=500)
-    vectors = features.sparse_features(counted, words, words.count())
-    return _reduced(vectors, reduction.fit_pca(vectors, 10, words.count()))
+    """Labelled texts on their 400 principal axes, over the whole vocabulary."""
+    rows = materialize(_vectors(spark, folder))
+    return reduction.fit_pca(rows, COMPONENTS).reduce(rows)
 
 
 def feature_importances(spark, folder):
@@ -397,6 +407,7 @@ def queries() -> dict[str, Query]:
         "random_forest_predict": _classifier(classifier="randomforest", min_df=5, trees=20, max_depth=10),
         "decision_tree_predict": _classifier(classifier="decisiontree", min_df=5, max_depth=10),
         "lsa_features": lsa_features,
+        "singular_values": singular_values,
         "pca_features": pca_features,
         "feature_importances": feature_importances,
         "stemmed_vocab": stemmed_vocab,

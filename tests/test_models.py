@@ -167,17 +167,30 @@ def test_importances(counted):
     assert len(top) == 3 and top[0]["importance"] >= top[1]["importance"] >= top[2]["importance"] > 0
 
 
-def test_svd_and_pca(counted, sparse):
-    words, size, _ = sparse
+@pytest.mark.parametrize("block_docs", [4096, 8])
+def test_svd_and_pca(monkeypatch, sparse, block_docs):
+    monkeypatch.setattr(reduction, "BLOCK_DOCS", block_docs)
+    monkeypatch.setattr(reduction, "SHARD_TERMS", 5 if block_docs == 8 else 1 << 16)
     x, _ = as_matrix(sparse)
-    vectors = features.sparse_features(counted, words, size)
-    stage = reduction.fit_svd(vectors, 3, size)
-    np.testing.assert_allclose(np.linalg.norm(x @ stage.matrix, axis=0), np.linalg.svd(x)[1][:3], rtol=1e-6)
-    row = stage.transform(vectors).orderBy("doc_id").first()
-    np.testing.assert_allclose(row["reduced"].toArray(), (x @ stage.matrix)[0])
-    model = reduction.fit_pca(vectors, 2, size)
-    centred = x - x.mean(0)
-    np.testing.assert_allclose(model.explainedVariance.toArray(), (np.linalg.svd(centred)[1] ** 2 / (centred**2).sum())[:2])
+    for centred, matrix in ((False, x), (True, x - x.mean(0))):
+        fitted = (reduction.fit_pca if centred else reduction.fit_svd)(sparse[2], 3)
+        expected = np.linalg.svd(matrix)[1][:3]
+        np.testing.assert_allclose(fitted.values, expected, rtol=1e-6)
+        rows = fitted.reduce(sparse[2]).orderBy("doc_id").collect()
+        reduced = np.array([r["reduced"] for r in rows])
+        np.testing.assert_allclose(np.linalg.norm(reduced, axis=0), expected, rtol=1e-6)
+        axes = np.zeros((x.shape[1], 3))
+        for r in fitted.components().collect():
+            axes[r["idx"]] = r["v"]
+        np.testing.assert_allclose(axes.T @ axes, np.eye(3), atol=1e-8)
+        np.testing.assert_allclose(reduced, matrix @ axes, atol=1e-8)
+
+
+def test_svd_of_more_components_than_rank(spark):
+    rows = spark.createDataFrame([(0, [0, 1], [1.0, 2.0]), (1, [0, 1], [2.0, 4.0]), (2, [], []), (3, [2], [1.0])], "doc_id long, indices array<int>, values array<double>")
+    fitted = reduction.fit_svd(rows, 10)
+    np.testing.assert_allclose(fitted.values[:2], [5.0, 1.0])
+    assert np.all(fitted.values[2:] < 1e-5) and len(fitted.reduce(rows).collect()) == 4
 
 
 def test_bad_names():
