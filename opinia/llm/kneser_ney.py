@@ -47,7 +47,7 @@ from opinia.operators.materialize import checkpoint_folder
 # Tokens counted or looked up at a time, and tokens of one shard on the average.
 PART_TOKENS = 1 << 22
 LOOKED_UP = 1 << 20
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 20
 TOKEN_BYTES = 6
 HOT_SHARE = 2048
 HOT_SAMPLE_BYTES = 1 << 26
