@@ -9,12 +9,8 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    NaiveBayes,
-    RandomForestClassifier,
-)
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import SparseVector
@@ -24,6 +20,7 @@ from pyspark.sql import functions as F
 from opinia.operators import naive_bayes
 from opinia.operators.dual import Margin, fit_margins
 from opinia.operators.features import fit_vectoriser, sparse_features, sparse_rows, with_scaling
+from opinia.operators.forest import Forest, Growth, fit_forest
 from opinia.operators.linear import DRIVER_WEIGHTS, fit_squared_hinge, fit_squared_hinge_table
 from opinia.operators.lookup import lookup_terms
 from opinia.operators.materialize import materialize, shrink_partitions
@@ -56,7 +53,6 @@ class ClassifierSettings:
     max_iter: int = 1000
     alpha: float = 1e-4
     trees: int = 50
-    max_depth: int = 30
     neighbours: int = 5
     seed: int = 17
 
@@ -146,6 +142,18 @@ class WeightModel:
         return scored.select(*kept, label.alias("predicted"), "score")
 
 
+@dataclass
+class ForestModel:
+    """Trees on sparse rows; ``rows`` turns doc_terms into them."""
+
+    words: DataFrame
+    rows: Callable[[DataFrame], DataFrame]
+    forest: Forest
+
+    def predict(self, terms: DataFrame) -> DataFrame:
+        return terms.drop("terms").join(self.forest.predict(self.rows(terms)), "doc_id")
+
+
 @dataclass
 class VectorModel:
     """Fitted pyspark.ml stages on vectors; ``featurise`` turns doc_terms into them."""
@@ -159,19 +167,10 @@ class VectorModel:
         return self.stages.transform(self.featurise(terms)).select(*kept, "predicted")
 
 
-def _estimator(settings: ClassifierSettings, features: str, n_docs: int):
-    columns = {"featuresCol": features, "labelCol": "label", "predictionCol": "prediction"}
-    name = settings.classifier
-    if name in BAYES:
-        return NaiveBayes(modelType=BAYES[name], smoothing=1.0, **columns)
-    if name == "randomforest":
-        return RandomForestClassifier(
-            numTrees=settings.trees, featureSubsetStrategy="sqrt", maxDepth=settings.max_depth, seed=settings.seed,
-            minInstancesPerNode=1, **columns,
-        )
-    return DecisionTreeClassifier(
-        minInfoGain=0.005, minInstancesPerNode=5, maxDepth=settings.max_depth, seed=settings.seed, **columns
-    )
+TREES = {
+    "randomforest": lambda settings: Growth(settings.trees, seed=settings.seed),
+    "decisiontree": lambda settings: Growth(1, sampled=False, min_split=10, min_decrease=0.005, seed=settings.seed),
+}
 
 
 def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSettings()):
@@ -241,9 +240,17 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
             fitted = fit_squared_hinge(rows, width, **options)
             plane = Hyperplane("features", fitted.weights, fitted.intercept)
         return VectorModel(words, featurise, PipelineModel([plane, names]))
+    if name in TREES:
+        def rows_of(found: DataFrame) -> DataFrame:
+            return sparse_rows(found, words) if projection is None else _arrays(featurise(found), "features")
+
+        growth = TREES[name](settings)
+        width = size if projection is None else len(projection.values)
+        return ForestModel(words, rows_of, fit_forest(rows_of(terms), classes, width, growth))
     indexer = StringIndexerModel.from_labels(classes, inputCol="class", outputCol="label")
-    fitted = Pipeline(stages=[_estimator(settings, "features", n_docs)]).fit(indexer.transform(features))
-    return VectorModel(words, featurise, PipelineModel([*fitted.stages, names]))
+    columns = {"featuresCol": "features", "labelCol": "label", "predictionCol": "prediction"}
+    fitted = NaiveBayes(modelType=BAYES[name], smoothing=1.0, **columns).fit(indexer.transform(features))
+    return VectorModel(words, featurise, PipelineModel([fitted, names]))
 
 
 def _unit_features(terms: DataFrame, reduced: DataFrame) -> DataFrame:
@@ -269,10 +276,7 @@ def _weight_table(words: DataFrame, weights: np.ndarray) -> DataFrame:
     return words.join(table, "idx", "left").select("term", "df", "idf", F.coalesce("w", F.lit(0.0)).alias("w"))
 
 
-def feature_importances(model: VectorModel, n: int = 30) -> DataFrame:
+def feature_importances(model: ForestModel, n: int = 30) -> DataFrame:
     """(term, importance): the n most important features of a fitted forest or tree."""
-    importances = model.stages.stages[-2].featureImportances
-    spark = model.words.sparkSession
-    pairs = [(int(i), float(v)) for i, v in zip(importances.indices, importances.values)]
-    ranked = spark.createDataFrame(pairs, "idx long, importance double")
+    ranked = model.forest.importances()
     return model.words.join(ranked, "idx").select("term", "importance").orderBy(F.desc("importance"), "term").limit(n)

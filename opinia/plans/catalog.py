@@ -229,7 +229,7 @@ def pca_features(spark, folder):
 
 
 def feature_importances(spark, folder):
-    settings = classifiers.ClassifierSettings("randomforest", min_df=5, trees=20, max_depth=10)
+    settings = classifiers.ClassifierSettings("randomforest")
     forest = classifiers.fit_classifier(materialize(_dev_terms(spark, folder, (1, 1))), settings)
     return classifiers.feature_importances(forest, 30)
 
@@ -404,8 +404,8 @@ def queries() -> dict[str, Query]:
         "squared_hinge_svm_predict": _classifier(classifier="linearsvc", loss="squared_hinge", C=3.0),
         "l1_svm_predict": _classifier(classifier="linearsvc", loss="squared_hinge", penalty="l1", C=3.0),
         "sgd_svm_predict": _classifier(classifier="sgd"),
-        "random_forest_predict": _classifier(classifier="randomforest", min_df=5, trees=20, max_depth=10),
-        "decision_tree_predict": _classifier(classifier="decisiontree", min_df=5, max_depth=10),
+        "random_forest_predict": _classifier(classifier="randomforest"),
+        "decision_tree_predict": _classifier(classifier="decisiontree"),
         "lsa_features": lsa_features,
         "singular_values": singular_values,
         "pca_features": pca_features,

@@ -145,7 +145,8 @@ def test_squared_hinge_as_a_table_reaches_the_same_minimum(spark, sparse):
         ClassifierSettings("linearsvc", loss="hinge", C=3.0, max_iter=15),
         ClassifierSettings("linearsvc", C=3.0),
         ClassifierSettings("sgd", max_iter=15),
-        ClassifierSettings("randomforest", trees=10, max_depth=8),
+        ClassifierSettings("randomforest", trees=10),
+        ClassifierSettings("randomforest", trees=5, svd_components=4),
         ClassifierSettings("knn", min_df=1),
         ClassifierSettings("complementnb", scaler="maxabs"),
         ClassifierSettings("sgd", svd_components=4, max_iter=15),
@@ -162,7 +163,7 @@ def test_separable_reviews_are_learned(counted, settings):
 
 
 def test_importances(counted):
-    forest = classifiers.fit_classifier(counted, ClassifierSettings("randomforest", trees=10, max_depth=5))
+    forest = classifiers.fit_classifier(counted, ClassifierSettings("randomforest", trees=10))
     top = classifiers.feature_importances(forest, 3).collect()
     assert len(top) == 3 and top[0]["importance"] >= top[1]["importance"] >= top[2]["importance"] > 0
 
