@@ -6,7 +6,7 @@ EXTRA_SYMBOLS = "\n”“’‘€´…"
 LEGACY_EXTRA_SYMBOLS = "\n”“’"
 
 # Links (a run of h/t/p letters, an optional s, a colon) and digits.
-LINK_PATTERN = r"[hHtTpP]+[sS]?:[A-Za-z0-9#_./-]+"
+LINK_PATTERN = r"[hHtTpP]+[sS]?:[A-Za-z0-9-#_./]+"
 NUMBER_PATTERN = r"\p{Nd}+"
 BEYOND_BMP_PATTERN = r"[\x{10000}-\x{10FFFF}]"
 
