@@ -251,25 +251,31 @@ def pair_rows(texts: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
     schema = "shard int, pairs binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[Grams] = []
+        # Room for one part, used again and again.
+        rooms = np.empty(PART_TOKENS, np.uint64), np.empty(PART_TOKENS, np.uint64)
+        used = 0
 
         def part() -> Iterator[pa.RecordBatch]:
-            first, second = (np.concatenate([getattr(g, side) for g in held]) for side in ("first", "second"))
-            held.clear()
-            first, second, n = merged(first, second)
+            first, second, n = merged(rooms[0][:used], rooms[1][:used])
             place = dealt(first, second, hot, shards)
             order = np.argsort(place, kind="stable")
-            first, second, n, place = first[order], second[order], n[order], place[order]
-            starts = _runs(place)
-            for low, high in zip(starts, np.append(starts[1:], len(place))):
-                yield _batch(schema, [int(place[low])], [packed(first[low:high], second[low:high], n[low:high])])
+            starts = _runs(place[order])
+            for low, high in zip(starts, np.append(starts[1:], len(order))):
+                chosen = order[low:high]
+                yield _batch(schema, [int(place[chosen[0]])], [packed(first[chosen], second[chosen], n[chosen])])
 
         for batch in batches:
             for grams in grams_of(batch.column(0)):
-                held.append(grams)
-                if sum(len(g.first) for g in held) >= PART_TOKENS:
-                    yield from part()
-        if held:
+                done = 0
+                while done < len(grams.first):
+                    taken = min(len(grams.first) - done, PART_TOKENS - used)
+                    for room, values in zip(rooms, (grams.first, grams.second)):
+                        room[used : used + taken] = values[done : done + taken]
+                    used, done = used + taken, done + taken
+                    if used == PART_TOKENS:
+                        yield from part()
+                        used = 0
+        if used:
             yield from part()
 
     return texts.select("text").mapInArrow(count, schema)
