@@ -23,6 +23,7 @@ HEADLINE = [
     "cv_f1_weighted",
     "stemmed_vocab",
     "scored_export",
+    "linear_svm_predict",
 ]
 
 
