@@ -310,10 +310,6 @@ def svm_grid_search(spark, folder):
     return search.run_search(labelled(spark, folder), search.parameter_grid(search.DEFAULT_GRID))
 
 
-def best_svm_config(spark, folder):
-    return search.best_configuration(svm_grid_search(spark, folder))
-
-
 def _active_out_of_fold(spark: SparkSession, folder: str) -> DataFrame:
     """The active pipeline's predictions of the labelled texts, each by the fold that held it out."""
     folds = training.prepare_folds(labelled(spark, folder), training.TextSettings())
@@ -424,7 +420,6 @@ def queries() -> dict[str, Query]:
         "param_grid": param_grid,
         "active_pipeline_export": active_pipeline_export,
         "svm_grid_search": svm_grid_search,
-        "best_svm_config": best_svm_config,
         "development_csv": development_csv,
         "evaluation_csv": evaluation_csv,
         "itemset_sink": itemset_sink,
