@@ -77,3 +77,29 @@ def test_names_of_enclosing_elements_and_unclosed_tags_lose_no_text():
     ):
         assert html.main_text(page).split("\n") == text, page
     assert html.main_text("<p>a<script>b") == "a"
+
+
+def test_tags_around_the_main_text_do_not_exclude_it():
+    long = "A sentence of the article, with a comma in it, goes on for a while. " * 5
+    for page in (
+        f'<body><form id="aspnetForm"><main><p>{long}</p></main></form></body>',
+        f"<body><form><div><p>{long}</p></div></form><footer>c 2020</footer></body>",
+        f'<body><article><p>{long}</p><aside>Aside, short.</aside><form>Sign up, now.</form></article></body>',
+        f'<body><div class="main"><p>{long}</p></div><div class="commentlist"><p>I do not agree, at all.</p></div></body>',
+        f'<body><article><p>{long}</p></article><dialog><p>Cookies, please.</p></dialog></body>',
+    ):
+        assert html.main_text(page) == long.strip(), page
+
+
+def test_quoted_values_and_further_sections_of_an_article():
+    long = "A sentence of the article, with a comma in it, goes on for a while. " * 5
+    assert html.main_text(f"<article><p>{long}<a title=\"x > y\" data-x='>' href=\"#\">link</a></p></article>").endswith("while. link")
+    page = f'<body><div class="one"><p>{long}</p></div><div class="two"><p>{long}</p><ul><li>First</li><li>Second</li></ul></div></body>'
+    assert html.main_text(page).split("\n") == [long.strip(), long.strip(), "First", "Second"]
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    for page in ("<div>" * 20_000 + "text" + "</div>" * 20_000, "<div class=ad>" * 20_000 + "text" + "</x></div>" * 20_000):
+        assert html.main_text(page) == "text"
+    # Nothing here is a tag, so it is text.
+    assert html.main_text('<a href="x' * 30_000) == '<a href="x' * 30_000
