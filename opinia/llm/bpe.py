@@ -2,7 +2,9 @@
 
 A text is cut at special tokens, brought to NFC and lower case and cut into short words. A word's parts and the ranks
 of adjacent pairs are two small lists side by side: scan the ranks for the minimum, delete that boundary, refresh the
-two ranks next to it, until no pair can be merged. Words are at most a few dozen parts, where such a scan beats a heap.
+two ranks next to it, until no pair can be merged. Words have some dozen parts, where such a scan beats a heap. A run of
+letters without a space (a page in Thai or Chinese) is one word, and its scans would cost the square of its length: words
+of more than ``LONGEST_SCANNED`` parts keep their pairs in a heap instead, with the same merges in the same order.
 
 Every executor reads the vocabulary file once per Python worker. Words repeat, so each worker keeps the codes of up
 to ``CACHED_WORDS`` words; the memo is emptied when it is full, so memory is bounded whatever the texts.
@@ -18,6 +20,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 import regex
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CACHED_WORDS = 400_000
+LONGEST_SCANNED = 256
 # Two ids in one number: vocabularies have fewer than 2^20 entries.
 SHIFT = 20
 MASK = (1 << SHIFT) - 1
@@ -67,11 +71,13 @@ class Codec:
         self.memo: dict[str, tuple[int, ...]] = {}
 
     def word_ids(self, word: str) -> list[int]:
-        """Ids of one short word, by the contiguous rank array."""
+        """Ids of one word, by the contiguous rank array if it is short."""
         data = word.encode("utf-8", "surrogatepass")
         ids = [self.inner[b] for b in data[:-1]]
         ids.append(self.last[data[-1]])
         ids = [i for i in ids if i is not None]
+        if len(ids) > LONGEST_SCANNED:
+            return self.long_word_ids(ids)
         pair = self.pair.get
         ranks = [pair(a << SHIFT | b, NO_PAIR) for a, b in zip(ids, ids[1:])]
         while ranks:
@@ -87,6 +93,27 @@ class Codec:
                 ranks[at - 1] = pair(ids[at - 1] << SHIFT | ids[at], NO_PAIR)
         return ids
 
+    def long_word_ids(self, ids: list[int]) -> list[int]:
+        """The same merges by a heap of (rank, place) over linked parts; entries whose pair has changed are passed over."""
+        pair, n = self.pair.get, len(ids)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(rank, at) for at, (a, b) in enumerate(zip(ids, ids[1:])) if (rank := pair(a << SHIFT | b)) is not None]
+        heapify(heap)
+        while heap:
+            rank, at = heappop(heap)
+            right = after[at]
+            # A part that was merged into its left neighbour has the id -1.
+            if right == n or ids[at] < 0 or pair(ids[at] << SHIFT | ids[right]) != rank:
+                continue
+            ids[at], ids[right] = rank & MASK, -1
+            after[at] = right = after[right]
+            if right < n:
+                before[right] = at
+            for left, other in ((before[at], at), (at, right)):
+                if left >= 0 and other < n and (rank := pair(ids[left] << SHIFT | ids[other])) is not None:
+                    heappush(heap, (rank, left))
+        return [i for i in ids if i >= 0]
+
     def normalized(self, text: str) -> str:
         text = unicodedata.normalize("NFC", text)
         return text.replace(FINAL_SIGMA, "σ").lower()

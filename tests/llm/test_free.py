@@ -6,6 +6,8 @@ import html as entities
 import math
 import random
 import re
+import string
+import time
 import zlib
 
 import numpy as np
@@ -61,6 +63,17 @@ def test_codes_equal_the_library(tokenizer):
         assert codec.decode(ids) == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_long_words_take_the_same_merges(tokenizer):
+    rng = random.Random(2)
+    codec = bpe.Codec(catalog.vocabulary())
+    for alphabet in ("ab", "etaoinshr", "กขคงจฉช", "的一是不了人我", string.ascii_lowercase):
+        word = "".join(rng.choices(alphabet, k=2000))
+        assert list(codec.encode(word)) == tokenizer.encode(word, add_special_tokens=False).ids
+    start = time.monotonic()
+    codec.encode("".join(rng.choices(string.ascii_lowercase, k=200_000)))
+    assert time.monotonic() - start < 20
+
+
 def test_code_digests(spark, documents, tokenizer):
     extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "twice"), (-3, "twice")], "doc_id long, text string")
     rows = bpe.code_digests(with_odd_columns(documents.select("doc_id", "text").union(extra)), catalog.vocabulary()).collect()
