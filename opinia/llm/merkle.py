@@ -2,14 +2,15 @@
 
 A section is a line with its line break; a paragraph is a part of a line up to the end of a sentence, so that texts of a
 single line have branches too. Every character lies in exactly one paragraph. A paragraph's node is a hash of its text,
-a section's node a hash of its paragraphs' nodes, the root a hash of the sections' nodes. Equal roots mean equal texts;
-walking down the branches that differ leads to what was edited. A fingerprint is written as
-``root;section=paragraphs;section=paragraphs;...`` with nodes of 12 hex digits and a root of 64.
+a section's node a hash of its paragraphs' nodes, the root a hash of the sections' nodes, all of full width: equal roots
+mean equal texts. Walking down the branches that differ leads to what was edited: ``edited_branches`` gives their nodes,
+``edited_range`` where they stand. A fingerprint is written as ``root;section=paragraphs;section=paragraphs;...`` with the
+first 12 hex digits of each node and the whole root.
 
 Likeness of two fingerprints: 1 for equal roots; else common over all distinct paragraph nodes, of branches that differ
 and of those that do not.
 
-Null text counts as empty, and has one section with one empty paragraph.
+Null text counts as empty, and has one section with one empty paragraph. Each row gets a row, repeated ones too.
 """
 
 from __future__ import annotations
@@ -27,23 +28,24 @@ SECTION_END = r"(?<=\n)"
 PARAGRAPH_END = r"(?<=[.!?] )"
 
 
-def _node(text: Column) -> Column:
-    return F.left(F.sha2(text, 256), F.lit(NODE))
-
-
 def fingerprint(text: Column) -> Column:
     """The whole tree of a text as a string."""
     sections = F.split(F.coalesce(text, F.lit("")), SECTION_END)
-    # A line break at the end leaves an empty rest, which is no section.
-    paragraphs = F.transform(sections, lambda s: F.array_join(F.transform(F.split(s, PARAGRAPH_END), _node), ""))
-    return paragraphs_to_tree(paragraphs)
-
-
-def paragraphs_to_tree(paragraphs: Column) -> Column:
-    branches = F.transform(paragraphs, lambda nodes: F.concat(_node(nodes), F.lit("="), nodes))
-    # The root covers every node below it; the list is made once and used twice.
-    whole = F.transform(F.array(F.array_join(branches, ";")), lambda joined: F.concat(F.sha2(joined, 256), F.lit(";"), joined))
-    return F.element_at(whole, 1)
+    # The nodes of a section's paragraphs at full width, one behind the other.
+    paragraphs = F.transform(sections, lambda s: F.array_join(F.transform(F.split(s, PARAGRAPH_END), lambda p: F.sha2(p, 256)), ""))
+    # The list is made once and used twice.
+    tree = F.transform(F.array(F.transform(paragraphs, lambda nodes: F.struct(F.sha2(nodes, 256).alias("node"), nodes.alias("nodes")))), _written)
+    return F.element_at(tree, 1)
+
+
+def _written(sections: Column) -> Column:
+    """The root over the full nodes, then all nodes cut to their first digits."""
+    root_node = F.sha2(F.array_join(F.transform(sections, lambda s: s["node"]), ";"), 256)
+    short = F.transform(
+        sections,
+        lambda s: F.concat(F.left(s["node"], F.lit(NODE)), F.lit("="), F.regexp_replace(s["nodes"], f"(.{{{NODE}}}).{{{64 - NODE}}}", "$1")),
+    )
+    return F.concat(root_node, F.lit(";"), F.array_join(short, ";"))
 
 
 def root(tree: Column) -> Column:
@@ -79,6 +81,23 @@ def edited_branches(old: Column, new: Column) -> Column:
     return F.when(root(old) == root(new), F.array().cast("array<string>")).otherwise(changed)
 
 
+def edited_range(old: Column, new: Column) -> Column:
+    """struct<first, end> of the sections of ``new``, numbered from 0, outside the sections that both begin and end with.
+
+    Empty (first = end) where sections were only taken out; null if the roots are equal.
+    """
+    one, two = branches(old), branches(new)
+
+    def common(a: Column, b: Column) -> Column:
+        # Lists of different length are filled up with nulls, which differ.
+        place = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False)
+        return F.when(place > 0, place - 1).otherwise(F.size(b)).cast("int")
+
+    first = common(one, two)
+    last = F.least(common(F.reverse(one), F.reverse(two)), F.least(F.size(one), F.size(two)) - first)
+    return F.when(root(old) != root(new), F.struct(first.alias("first"), (F.size(two) - last).cast("int").alias("end")))
+
+
 def edited_paragraphs(old: Column, new: Column) -> Column:
     """The paragraph nodes of ``new`` that ``old`` does not have."""
     return F.array_except(paragraph_nodes(new), paragraph_nodes(old))
@@ -92,7 +111,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def with_next(docs: DataFrame) -> DataFrame:
     """(at, own, n_chars, next): links from each document to the next by doc_id, the last one's to the first.
 
-    Works on ids and hashes of texts alone. The hashes order rows that share a doc_id; rows equal in both count once.
+    Works on ids and hashes of texts alone. The hashes order rows that share a doc_id; rows equal in both are one link.
     """
     ids = keyed(docs).select("at", "own", F.length("text").cast("long").alias("n_chars")).distinct()
     bucketed = written(ordered_buckets(written(ids), "at", buckets=min(BUCKETS, 4 * partitions(docs.sparkSession))))
@@ -108,7 +127,8 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_edited_sections).
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_edited_sections,
+    first_edited_section, end_edited_section).
 
     The edited text has its last quarter replaced by as much of the start of the next document. Whole texts are shuffled
     once, by doc_id; after that only the starts wanted and fingerprints travel.
@@ -122,11 +142,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.floor(F.col("n_chars") / 4).cast("int").alias("wanted"),
     )
     met = keyed(docs).join(wanted, ["at", "own"])
-    # Rows that repeat doc_id and text count once.
-    once = F.row_number().over(Window.partitionBy("at", "own").orderBy("before"))
-    met = met.withColumn("place", once).where("place = 1")
+    # Rows that repeat doc_id and text have the same next document and are next to one only.
+    met = met.withColumn("place", F.row_number().over(Window.partitionBy("at", "own").orderBy("before")))
     # Both ends of a link use the same columns of the same exchange, so texts travel once.
-    starts = met.select(
+    starts = met.where("place = 1").select(
         F.col("before.at").alias("at"),
         F.col("before.own").alias("own"),
         F.substring(F.col("text"), F.lit(1), F.col("wanted")).alias("start"),
@@ -159,4 +178,5 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         near("edited_fingerprint").alias("near_edited"),
         near("next_fingerprint").alias("near_next"),
         F.size(edited_branches(F.col("fingerprint"), F.col("edited_fingerprint"))).cast("long").alias("n_edited_sections"),
+        *[edited_range(F.col("fingerprint"), F.col("edited_fingerprint"))[end].alias(f"{end}_edited_section") for end in ("first", "end")],
     )

@@ -72,13 +72,13 @@ def test_quality_keeps_good_documents_of_the_tables(spark):
 
 
 def tree(text):
-    node = lambda s: hashlib.sha256(s.encode()).hexdigest()[:12]
-    branches = []
+    node = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    full, branches = [], []
     for section in re.split(r"(?<=\n)", text):
-        nodes = "".join(node(p) for p in re.split(r"(?<=[.!?] )", section))
-        branches.append(node(nodes) + "=" + nodes)
-    joined = ";".join(branches)
-    return hashlib.sha256(joined.encode()).hexdigest() + ";" + joined
+        nodes = [node(p) for p in re.split(r"(?<=[.!?] )", section)]
+        full.append(node("".join(nodes)))
+        branches.append(full[-1][:12] + "=" + "".join(n[:12] for n in nodes))
+    return ";".join([node(";".join(full)), *branches])
 
 
 def likeness(one, two):
@@ -92,7 +92,7 @@ def test_merkle_fingerprints_of_edited_texts(docs):
     rows = merkle.edited_fingerprints(docs).collect()
     texts = {None: "no id"} | dict(enumerate(CASES))
     order = [None, *range(len(CASES))]
-    assert len(rows) == len(order)  # the repeated row counts once
+    assert sorted(map(str, (r.doc_id for r in rows))) == sorted(map(str, [*order, 3]))  # the repeated row is there twice
     for r in rows:
         text = texts[r.doc_id] or ""
         after = texts[order[(order.index(r.doc_id) + 1) % len(order)]] or ""
@@ -105,13 +105,18 @@ def test_merkle_fingerprints_of_edited_texts(docs):
 
 
 def test_merkle_branches_locate_an_edit(spark):
-    rows = [("One. Two.\nThree.\nFour.\n", "One. Two.\nThree!\nFour.\n"), ("same", "same")]
+    rows = [
+        ("One. Two.\nThree.\nFour.\n", "One. Two.\nThree!\nFour.\n"), ("same", "same"),
+        ("a\nb\nc\n", "a\nc\n"), ("a\nb", "a\nb\nx\ny"), ("a\na\na\n", "a\na\n"),
+    ]
     trees = spark.createDataFrame(rows, "a string, b string").select(merkle.fingerprint(F.col("a")).alias("a"), merkle.fingerprint(F.col("b")).alias("b"))
     found = trees.select(
         merkle.edited_branches(F.col("a"), F.col("b")).alias("sections"),
         merkle.edited_paragraphs(F.col("a"), F.col("b")).alias("paragraphs"),
         merkle.likeness(F.col("a"), F.col("b")).alias("near"),
+        merkle.edited_range(F.col("a"), F.col("b")).alias("range"),
     ).collect()
+    assert [r.range and tuple(r.range) for r in found] == [(1, 2), None, (1, 1), (1, 4), (2, 2)]
     node = hashlib.sha256("Three!\n".encode()).hexdigest()[:12]
     assert found[0].paragraphs == [node] and len(found[0].sections) == 1 and found[0].sections[0].endswith("=" + node)
     assert 0 < found[0].near < 1 and found[1].sections == [] and found[1].near == 1.0
