@@ -5,6 +5,7 @@ import collections
 import hashlib
 import random
 import re
+import string
 
 import duckdb
 import pytest
@@ -155,6 +156,40 @@ def test_secret_scan(spark):
     assert not any(rows[len(texts) - 1 - i].n_random for i in range(len(names)))
 
 
+def test_secrets_of_every_encoding_are_found_and_names_are_not(spark):
+    rng = random.Random(1)
+    words = (
+        "report user account service manager builder factory session request handler client server config index document "
+        "table query stream parser value module adapter context element transaction payment customer order shipping invoice"
+    ).split()
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    keys = {"lower36": lower + digits, "upper36": upper + digits, "base62": lower + upper + digits, "base32": upper + "234567"}
+    joints = {"camel": "", "hyphens": "-", "snake": "_", "path": "/"}
+    rows = []
+    for kind in [*keys, *joints]:
+        made = 0
+        while made < 200:
+            if kind in keys:
+                text = "".join(rng.choices(keys[kind], k=rng.randint(20, 64)))
+            else:
+                named = [w.title() if kind == "camel" else w for w in rng.choices(words, k=rng.randint(3, 5))]
+                text = joints[kind].join([*named, str(rng.randint(1, 99))])
+            if len(text) >= 20 and re.search("[0-9]", text):
+                rows.append((kind, f"a {text} b"))
+                made += 1
+    frame = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = collections.Counter(rows[r.doc_id][0] for r in secret_scan.scan(frame).collect() if r.spans)
+    assert all(found[kind] >= 180 for kind in keys), found
+    assert sum(found[kind] for kind in joints) < 16, found
+
+
+def test_what_base_finds_leave_of_a_candidate_is_tested(spark):
+    texts = ["key-0123456789abcdef0123-zq8Kp1Xw7Lm3Bv9Td5Rs2Y", "x 0123456789abcdef0123-zq8Kp1Xw7", None, "zq8Kp1Xw7Lm3Bv9Td5Rs2Y"]
+    frame = spark.createDataFrame([(0, t) for t in [*texts, texts[0]]], "doc_id long, text string").withColumn("step", F.lit(1))
+    found = [r.spans for r in secret_scan.scan(frame).collect()]
+    assert sorted(found) == sorted(["hex:4:24,random:24:47", "hex:2:22", "", "random:0:22", "hex:4:24,random:24:47"])
+
+
 def judged(url, rules):
     host = path = ""
     if url and "://" in url:
