@@ -121,12 +121,14 @@ class NeighbourModel:
 @dataclass
 class WeightModel:
     """A linear model as a table: (term, df, idf, w, shift) and an intercept. A document's score is the sum of its weights
-    times ``w`` less the ``shift`` of each of its terms."""
+    times ``w`` less the ``shift`` of each of its terms. ``converged`` tells whether the fit ended by its own measure, not
+    by its number of rounds; None where the fit does not tell."""
 
     table: DataFrame
     intercept: float
     negative: str
     positive: str
+    converged: bool | None = None
 
     def predict(self, terms: DataFrame) -> DataFrame:
         kept = [c for c in terms.columns if c != "terms"]
@@ -196,18 +198,18 @@ def fit_classifier(terms: DataFrame, settings: ClassifierSettings = ClassifierSe
     if name == "linearsvc" and settings.penalty == "l2" and settings.svd_components is None:
         fitted = fit_margins(sparse_rows(terms, words), n_docs, classes[-1], [Margin(settings.C, settings.loss)])
         weights = materialize(fitted.weights().select("idx", F.col("w")[0].alias("w")))
-        return WeightModel(_unscaled(words.join(weights, "idx")), weights.where("idx = -1").first()["w"], *classes)
+        return WeightModel(_unscaled(words.join(weights, "idx")), weights.where("idx = -1").first()["w"], *classes, fitted.progress.converged)
     if name == "sgd" and settings.svd_components is None:
         fitted = fit_sgd(sparse_rows(terms, words), classes[-1], settings.alpha, settings.max_iter, seed=settings.seed)
-        return WeightModel(_unscaled(words.join(fitted.weights, "idx")), fitted.intercept, *classes)
+        return WeightModel(_unscaled(words.join(fitted.weights, "idx")), fitted.intercept, *classes, fitted.converged)
     if name == "linearsvc" and settings.loss == "squared_hinge" and plain:
         if size > DRIVER_WEIGHTS:
             weights, intercept = fit_squared_hinge_table(tfidf_vectors(terms, words), **options)
-            table = words.select("term", "df", "idf").join(weights, "term")
+            table, converged = words.select("term", "df", "idf").join(weights, "term"), None
         else:
             fitted = fit_squared_hinge(sparse_rows(terms, words), size, **options)
-            table, intercept = _weight_table(words, fitted.weights), fitted.intercept
-        return WeightModel(table.withColumn("shift", F.lit(0.0)), intercept, *classes)
+            table, intercept, converged = _weight_table(words, fitted.weights), fitted.intercept, fitted.converged
+        return WeightModel(table.withColumn("shift", F.lit(0.0)), intercept, *classes, converged)
     projection = None
     if settings.svd_components is not None:
         # Replaces the scaler.

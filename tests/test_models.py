@@ -162,6 +162,11 @@ def test_separable_reviews_are_learned(counted, settings):
     assert len(rows) == 30 and np.mean([r["class"] == r["predicted"] for r in rows]) > 0.9
 
 
+@pytest.mark.parametrize("settings", [ClassifierSettings("linearsvc"), ClassifierSettings("linearsvc", penalty="l1", loss="squared_hinge", max_iter=1), ClassifierSettings("sgd", max_iter=1)])
+def test_linear_models_tell_whether_they_converged(counted, settings):
+    assert classifiers.fit_classifier(counted, settings).converged is (settings.max_iter > 1)
+
+
 def test_importances(counted):
     forest = classifiers.fit_classifier(counted, ClassifierSettings("randomforest", trees=10))
     top = classifiers.feature_importances(forest, 3).collect()
