@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +51,8 @@ BLOCK_BITS = 32_768
 # Different terms a task adds up before it passes them on.
 HELD_TERMS = 200_000
 HOT_SHARE = 1024
+# Rows whose spans are held at a time.
+FOUND_ROWS = 512
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 
@@ -137,21 +140,24 @@ def look_up(rows: DataFrame, table: DataFrame, key: str, frequency: str, total:
 
 def detector() -> Callable[[str], F.Column]:
     """A function that makes struct<spans, hash, entities> of a text column; the last two are null where nothing is found."""
-    schema = f"spans {SPANS}, hash string, entities array<string>"
+    spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    found_type = pa.struct([("spans", spans_type), ("hash", pa.string()), ("entities", pa.list_(pa.string()))])
 
-    @F.pandas_udf(schema)
-    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(f"spans {SPANS}, hash string, entities array<string>")
+    def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = []
-            for text in batch:
-                spans = base_spans(text or "")
-                named = [{"kind": k, "start": s, "end": e} for k, s, e in spans]
-                if spans:
-                    keys = sorted({entity_key(k, text[s:e]) for k, s, e in spans})
-                    rows.append((named, hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(), keys))
-                else:
-                    rows.append((named, None, None))
-            yield pd.DataFrame(rows, columns=["spans", "hash", "entities"])
+            # Texts become Python strings one at a time: a batch may hold ten thousand of any length.
+            for at in range(0, len(batch), FOUND_ROWS):
+                rows = []
+                for value in batch.slice(at, FOUND_ROWS):
+                    text = value.as_py() or ""
+                    spans = base_spans(text)
+                    row = {"spans": [{"kind": k, "start": s, "end": e} for k, s, e in spans], "hash": None, "entities": None}
+                    if spans:
+                        row["hash"] = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+                        row["entities"] = sorted({entity_key(k, text[s:e]) for k, s, e in spans})
+                    rows.append(row)
+                yield pa.array(rows, found_type)
 
     return lambda text: detect(F.col(text))
 
@@ -174,21 +180,25 @@ def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, n_t): number of documents of the whole corpus with each of ``terms``."""
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(likely_terms(terms)))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counts(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["term", "n_t"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, mask = np.unpackbits(shared.value), (1 << BITMAP_BITS) - 1
         likely = bits.tobytes()
         held: Counter = Counter()
         for batch in batches:
-            for text in batch["text"]:
+            for value in batch.column(0):
+                text = value.as_py()
                 if text:
                     held.update([t for t in set(TERM.findall(text.lower())) if likely[zlib.crc32(t.encode()) & mask]])
             if len(held) > HELD_TERMS:
-                yield pd.DataFrame({"term": list(held), "n_t": list(held.values())})
+                yield counts(held)
                 held.clear()
         if held:
-            yield pd.DataFrame({"term": list(held), "n_t": list(held.values())})
+            yield counts(held)
 
-    counted = docs.select("text").mapInPandas(count, "term string, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t"))
+    counted = docs.select("text").mapInArrow(count, "term string, n_t long").groupBy("term").agg(F.sum("n_t").alias("n_t"))
     return counted.join(terms, "term", "left_semi")
 
 

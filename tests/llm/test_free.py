@@ -335,3 +335,17 @@ def test_pipeline_stages_take_effect(spark, documents):
     assert corpus_pipeline.run(spark, FOLDER).count() == pieces.count()
     good = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 0")
     assert docs.join(good, "doc_id", "left_semi").isEmpty()
+
+
+def test_pii_detector_holds_few_rows_at_a_time(spark, monkeypatch):
+    """Spans of a batch are passed on in small parts, complete and in order (op2 failed by executor memory)."""
+    monkeypatch.setattr(pii, "FOUND_ROWS", 3)
+    texts = [None if i % 7 == 0 else f"nr {i} mail u{i}@ex{i % 3}.org " if i % 2 else f"nothing {i}" for i in range(50)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = frame.select("doc_id", "text", pii.detector()("text").alias("found")).collect()
+    assert len(rows) == 50
+    for r in rows:
+        base = pii.base_spans(r.text or "")
+        assert [tuple(s) for s in r.found.spans] == base
+        assert (r.found.hash is None) == (not base)
+        assert r.found.entities == (sorted({pii.entity_key(k, r.text[s:e]) for k, s, e in base}) if base else None)
