@@ -7,6 +7,7 @@ import pytest
 
 from opinia.operators import classifiers, features, linear, naive_bayes, neighbours, reduction, terms
 from opinia.operators.classifiers import ClassifierSettings
+from pyspark.sql import functions as F
 
 NEW = ["camera pulita e gentile", "sporca e scortese", "parole ignote soltanto", "", "ottima vista ma rumore"]
 
@@ -192,6 +193,26 @@ def test_svd_and_pca(monkeypatch, sparse, block_docs):
         np.testing.assert_allclose(reduced, matrix @ axes, atol=1e-8)
 
 
+def test_svd_sends_rows_for_documents_not_for_terms(monkeypatch, spark):
+    """What is swapped must not hold a dense row for every term of a block."""
+    monkeypatch.setattr(reduction, "BLOCK_DOCS", 8)
+    monkeypatch.setattr(reduction, "CHUNK_TERMS", 64, raising=False)
+    largest, write = [], reduction.materialize
+
+    def watched(df):
+        out = write(df)
+        if "payload" in out.columns:
+            largest.append(out.agg(F.max(F.length("payload"))).first()[0])
+        return out
+
+    monkeypatch.setattr(reduction, "materialize", watched)
+    rows = [(i, list(range(i % 20 * 1000, i % 20 * 1000 + 1000)), [1.0 + (i * 7 + j) % 13 for j in range(1000)]) for i in range(40)]
+    fitted = reduction.fit_svd(spark.createDataFrame(rows, "doc_id long, indices array<int>, values array<double>"), 20, iterations=1)
+    assert len(fitted.values) == 20 and fitted.values[-1] > 0
+    # 16 bytes for an entry of a block, at most 20 documents in one; 30 columns of 8,000 terms would be 1.9 MB.
+    assert max(largest) < 400_000
+
+
 def test_svd_of_more_components_than_rank(spark):
     rows = spark.createDataFrame([(0, [0, 1], [1.0, 2.0]), (1, [0, 1], [2.0, 4.0]), (2, [], []), (3, [2], [1.0])], "doc_id long, indices array<int>, values array<double>")
     fitted = reduction.fit_svd(rows, 10)
