@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 
-from pyspark.ml.fpm import FPGrowth
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinia.functions import fixed_values as fixed
 from opinia.functions.text import LEGACY, TokenizerConfig
+from opinia.operators.materialize import materialize
 from opinia.operators.terms import tokenize, unfold
 
 NEGATIVE, POSITIVE = "neg", "pos"
 OVERALL = "overall"
+# Bits set in a byte.
+ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
 def class_counts(docs: DataFrame) -> DataFrame:
@@ -197,18 +205,76 @@ def transactions(docs: DataFrame, longer_than: int = 2) -> DataFrame:
     )
 
 
+def _larger_sets(sets: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """Sets of one item more, of which all smaller ones are in the sorted list ``sets``."""
+    known, out = set(sets), []
+    by_start: dict[tuple[int, ...], list[int]] = {}
+    for s in sets:
+        by_start.setdefault(s[:-1], []).append(s[-1])
+    for start, ends in by_start.items():
+        for i, a in enumerate(ends):
+            for b in ends[i + 1 :]:
+                found = (*start, a, b)
+                if all(found[:at] + found[at + 1 :] in known for at in range(len(start))):
+                    out.append(found)
+    return out
+
+
+def _holders(blocks: DataFrame, sets: list[tuple[int, ...]]) -> DataFrame:
+    """(place, n): how many transactions hold each set of the list. A task sends one row for each set."""
+    shared = blocks.sparkSession.sparkContext.broadcast(sets)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted, totals = shared.value, np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            for payload, items in zip(batch["bits"], batch["items"]):
+                bits = np.frombuffer(payload, np.uint8).reshape(items, -1)
+                start, held = None, None
+                for place, found in enumerate(wanted):
+                    if found[:-1] != start:
+                        # Sets with the same start stand together.
+                        start, held = found[:-1], np.bitwise_and.reduce(bits[list(found[:-1])], axis=0)
+                    totals[place] += ONES[held & bits[found[-1]]].sum()
+        yield pd.DataFrame({"place": np.arange(len(wanted)), "n": totals})
+
+    return blocks.mapInPandas(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+
+
 def frequent_itemsets(docs: DataFrame, min_support: float = 0.2, longer_than: int = 2) -> DataFrame:
     """(items, freq, support): all sets of words that a share of at least ``min_support`` of the documents holds.
 
-    The miner keeps only the frequent words on the driver, at most (words per document / min_support) of them, and
-    grows each set's tree from transactions cut down to those words.
+    Level by level: a set can only be frequent if all its smaller sets are. Transactions are cut down to the frequent words
+    and kept as one bit for each word, packed by some thousand documents; a level is a pass over these, and a task sends
+    one number for each candidate, whatever it has read. The driver sees the frequent words, at most (words per document /
+    min_support) of them, and the candidates and frequent sets, whose number follows from the support asked for, not from the number of documents.
     """
-    baskets = transactions(docs, longer_than)
+    spark, baskets = docs.sparkSession, transactions(docs, longer_than)
     n_docs = docs.count()
-    mined = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets.select("items")).freqItemsets
-    return mined.select(
-        F.sort_array("items").alias("items"), "freq", (F.col("freq") / F.lit(n_docs)).alias("support")
-    )
+    least = math.ceil(min_support * n_docs)
+    counted = unfold(baskets.select("items"), "items", "word").groupBy("word").agg(F.count("*").alias("n"))
+    single = {r["word"]: r["n"] for r in counted.where(F.col("n") >= max(least, 1)).collect()}
+    words = sorted(single)
+    freq = {(i,): single[word] for i, word in enumerate(words)}
+    if len(words) > 1:
+        cut = baskets.select(F.filter("items", lambda w: w.isin(words)).alias("items"))
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            value_set = pa.array(words)
+            for batch in batches:
+                lists = batch.column(0)
+                starts = lists.offsets.to_numpy()
+                held = np.zeros((len(words), batch.num_rows), bool)
+                held[pc.index_in(lists.flatten(), value_set).to_numpy(), np.repeat(np.arange(batch.num_rows), np.diff(starts))] = True
+                yield pa.RecordBatch.from_arrays([pa.array([np.packbits(held, axis=1).tobytes()], pa.binary()), pa.array([len(words)], pa.int32())], ["bits", "items"])
+
+        blocks = materialize(cut.mapInArrow(pack, "bits binary, items int"))
+        level = _larger_sets(sorted(freq))
+        while level:
+            found = {level[r["place"]]: r["n"] for r in _holders(blocks, level).where(F.col("n") >= max(least, 1)).collect()}
+            freq |= found
+            level = _larger_sets(sorted(found))
+    rows = [([words[i] for i in items], n, n / n_docs) for items, n in freq.items()]
+    return spark.createDataFrame(rows, "items array<string>, freq long, support double")
 
 
 def shuffled_listing(docs: DataFrame, seed: int = 0) -> DataFrame:

@@ -1,3 +1,7 @@
+import itertools
+import math
+import random
+
 from collections import Counter
 from itertools import combinations
 
@@ -84,3 +88,26 @@ def test_shuffled_listing_is_a_fixed_permutation(reviews):
 
 def test_legacy_word_set(reviews):
     assert explore.legacy_word_set(reviews).count() == len({w for r in reviews.collect() for w in r["text"].split() if len(w) > 1})
+
+
+def test_itemsets_match_brute_force_and_send_counts_only(spark):
+    """Every set of words with enough documents; no transaction is shuffled."""
+    rng = random.Random(5)
+    words = ["uno", "due", "tre", "quattro", "cinque", "sei", "sette"]
+    held = [[w for i, w in enumerate(words) if rng.random() < 0.8 - 0.09 * i] for _ in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(h)) for i, h in enumerate(held)] + [(300, None), (301, "")], "doc_id long, text string").repartition(5)
+    got = {tuple(r["items"]): (r["freq"], r["support"]) for r in explore.frequent_itemsets(docs, 0.1).collect()}
+    want = {}
+    for size in range(1, len(words) + 1):
+        for items in itertools.combinations(sorted(words), size):
+            n = sum(set(items) <= set(h) for h in held)
+            if n >= math.ceil(0.1 * 302):
+                want[items] = (n, n / 302)
+    assert got == want and max(map(len, got)) >= 3
+    blocks = spark.createDataFrame([(bytes([0b10100000, 0b11000000]), 2)], "bits binary, items int")
+    assert [(r["place"], r["n"]) for r in explore._holders(blocks, [(0, 1)]).collect()] == [(0, 1)]
+
+
+def test_itemsets_of_nothing(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
+    assert explore.frequent_itemsets(docs, 0.2).count() == 0
