@@ -1,3 +1,4 @@
+from opinia.functions.fixed_values import NEGATIVE_EMOJI, POSITIVE_EMOJI
 from opinia.functions.stemming import stem_words
 from opinia.functions.stop_words import stop_word_list, stop_words_frame
 from opinia.functions.text import LEGACY, TokenizerConfig, ngrams
@@ -90,6 +91,27 @@ def test_stemming_keeps_order_and_repeats(spark):
     assert run(spark, texts, config) == [["cam", "pul", "cam"], [], ["pul", "camer", "positiveemoj"]]
 
 
+def test_stemming_keeps_rows_that_repeat_a_doc_id(spark):
+    docs = spark.createDataFrame([(1, "camere pulite"), (1, "camere pulite"), (2, None)], "doc_id long, text string")
+    got = [(r["doc_id"], r["tokens"]) for r in tokenize(docs, TokenizerConfig(stemmer=True)).orderBy("doc_id").collect()]
+    assert got == [(1, ["cam", "pul"]), (1, ["cam", "pul"]), (2, [])]
+
+
+def test_stemming_moves_words_by_block_not_by_token(spark):
+    docs = spark.createDataFrame([(i, "camere pulite " * 50) for i in range(40)], "doc_id long, text string")
+    frame = tokenize(docs, TokenizerConfig(stemmer=True))
+    # The plan explodes distinct words of blocks, never the tokens.
+    plan = frame._jdf.queryExecution().toString()
+    assert "names" in plan and "posexplode(tokens" not in plan
+    assert all(r["tokens"] == ["cam", "pul"] * 50 for r in frame.collect())
+
+
+def test_every_listed_emoji(spark):
+    texts = ["".join(POSITIVE_EMOJI) + "x" + "".join(NEGATIVE_EMOJI), "👏🏻👏🏻👏 🏻👍👎🚀👍"]
+    want = [["positiveemoji"] * len(POSITIVE_EMOJI) + ["negativeemoji"] * len(NEGATIVE_EMOJI), ["positiveemoji"] * 3 + ["negativeemoji", "positiveemoji"]]
+    assert run(spark, texts) == want
+
+
 def test_stemmed_vocabulary_has_each_word_once(spark):
     df = spark.createDataFrame([(1, ["camere", "camera", "camere"])], "doc_id long, tokens array<string>")
     got = {r["word"]: (r["n"], r["stem"]) for r in stemmed_vocabulary(df).collect()}
