@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from opinia.operators import classifiers, features, linear, naive_bayes, neighbours, reduction, terms
+from opinia.operators import classifiers, features, linear, naive_bayes, neighbours, reduction, scaling, term_blocks, terms
 from opinia.operators.classifiers import ClassifierSettings
 from pyspark.sql import functions as F
 
@@ -233,3 +233,15 @@ def test_scaled_features_stay_sparse(counted, sparse):
     scaled = features.with_scaling(words, counted, "standard", 30)
     got, _ = as_matrix((scaled, size, features.sparse_rows(counted, scaled)))
     np.testing.assert_allclose(got, x / x.std(0))
+
+
+@pytest.mark.parametrize("scaler", ["maxabs", "minmax", "standard", "robust"])
+def test_scaling_by_blocks_is_scaling_by_rows(counted, scaler):
+    blocks = term_blocks.packed(counted)
+    words = terms.with_idf(terms.vocabulary(counted, 30, 0.5), 30)
+    by_rows = scaling.scale_vectors(terms.tfidf_vectors(counted, words), scaler, 30)
+    by_blocks = scaling.scale_blocks(blocks, term_blocks.other_fields(counted), words, scaler, 30)
+    want, got = ({(r["doc_id"], r["term"]): r["w"] for r in df.collect()} for df in (by_rows, by_blocks))
+    assert got == pytest.approx(want, rel=1e-9)
+    df = {r["term"]: (r["df"], r["cf"]) for r in terms.document_frequency(counted).collect()}
+    assert {r["term"]: (r["df"], r["cf"]) for r in term_blocks.counted_terms(blocks).collect()} == df
