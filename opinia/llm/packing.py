@@ -35,13 +35,21 @@ END_ID = 2
 # Enough pieces for nearly full sequences, few enough for one small task.
 GROUP_PIECES = 2048
 # What a worker's memo may hold, with about so many bytes for an entry besides word and code.
-MEMO_BYTES = 48 << 20
+MEMO_BYTES = 96 << 20
 ENTRY_BYTES = 150
 # Longer stretches without a space are not kept.
 LONGEST_CACHED = 64
 MARKS = frozenset(".,;:!?")
 # Letters whose lower case is not one letter, or depends on what is around them.
 ODD_CASE = frozenset("Σİ")
+# By byte: whether it is a mark, a letter, and its lower case.
+MARK_BYTES = np.isin(np.arange(256), [ord(m) for m in MARKS]).astype(np.int64)
+LATIN_LEAD = 0xC3
+LETTER_BYTES = np.isin(np.arange(256), [*range(65, 91), *range(97, 123), LATIN_LEAD])
+LOWERED = np.arange(256, dtype=np.uint8) + 32 * np.isin(np.arange(256), range(65, 91)).astype(np.uint8)
+# The same behind the lead byte, where the signs for times and divided by are no letters.
+LATIN_LETTERS = np.isin(np.arange(256), [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)])
+LATIN_LOWERED = np.arange(256, dtype=np.uint8) + 32 * np.isin(np.arange(256), range(0x80, 0x9F)).astype(np.uint8)
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 # What all special tokens begin with.
 SPECIAL_MARK = b"<|"
@@ -60,6 +68,7 @@ class WordEncoder:
         self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.marks = {"": b""} | {mark: self.whole(mark) for mark in MARKS}
         self.byte_characters = byte_characters()
+        self.byte_codes = np.array([ord(self.byte_characters[b]) for b in range(256)], "<u4")
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.memo: dict[int, bytes] = {}
         self.held = 0
@@ -100,15 +109,38 @@ class WordEncoder:
             found = [b"".join([self.id_bytes[i] for i in next(rest).ids]) if c is None else c for c in found]
         return found
 
+    def fresh_codes(self, data: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Ids of words that the memo has not. Words of letters up to U+00FF, with or without a mark behind, are told apart and put
+        in lower case as arrays; the others one by one."""
+        bare = last - MARK_BYTES[data[last - 1]]
+        # Letters from U+00C0 on: this byte, then one more.
+        second = np.concatenate([[False], data[:-1] == LATIN_LEAD])
+        letter = np.where(second, LATIN_LETTERS[data], LETTER_BYTES[data])
+        letters = np.concatenate([[0], np.cumsum(letter, dtype=np.int32)])
+        plain = (bare > first) & (letters[bare] - letters[first] == bare - first)
+        found: list[bytes] = [b""] * len(first)
+        at = np.flatnonzero(plain)
+        lowered = np.where(second, LATIN_LOWERED[data], LOWERED[data])
+        text = self.byte_codes[lowered].tobytes().decode("utf-32-le")
+        tokenize, packed = self.model.tokenize, self.id_bytes
+        marks = [self.marks[chr(b)] if m else b"" for b, m in zip(data[last[at] - 1].tolist(), (last > bare)[at].tolist())]
+        for k, a, b, mark in zip(at.tolist(), first[at].tolist(), bare[at].tolist(), marks):
+            found[k] = b"".join([packed[t.id] for t in tokenize(text[a:b])]) + mark
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            whole = data.tobytes()
+            words = [whole[a:b].decode("utf-8", "surrogatepass") for a, b in zip(first[rest].tolist(), last[rest].tolist())]
+            for k, code in zip(rest.tolist(), self.new_codes(words)):
+                found[k] = code
+        return found
+
     def codes(self, data: np.ndarray, hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[bytes]:
         """Ids of different words of ``data``, from the memo where it has them."""
         memo, keys = self.memo, hashes.tolist()
         found = list(map(memo.get, keys))
         missing = [k for k, code in enumerate(found) if code is None]
         if missing:
-            whole = data.tobytes()
-            spans = zip(first[missing].tolist(), last[missing].tolist())
-            fresh = self.new_codes([whole[a:b].decode("utf-8", "surrogatepass") for a, b in spans])
+            fresh = self.fresh_codes(data, first[missing], last[missing])
             for k, code in zip(missing, fresh):
                 found[k] = code
             kept = {keys[k]: code for k, code in zip(missing, fresh) if last[k] - first[k] <= LONGEST_CACHED}

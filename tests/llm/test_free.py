@@ -108,6 +108,16 @@ def test_first_fit_takes_the_first_sequence_with_room():
         assert packing.first_fit_decreasing(lengths, 64) == [expected[i] for i in range(len(lengths))]
 
 
+def test_words_of_letters_are_told_apart_as_arrays(monkeypatch, tokenizer):
+    packer, asked = packing.WordEncoder(catalog.vocabulary()), []
+    one_by_one = packer.new_codes
+    monkeypatch.setattr(packer, "new_codes", lambda words: asked.extend(words) or one_by_one(words))
+    texts = ["Straße, ÀÉÎÕÜÝÞß ÿ? Niño; a×b ÷ x1 naïve! ŁÓDŹ d'Été", "È, É. è; é"]
+    for text, found in zip(texts, packer.packed(pa.array(texts))):
+        assert np.frombuffer(found, np.uint32).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(["a×b", "÷", "x1", "ŁÓDŹ", "d'Été"])
+
+
 def test_packing_places_every_id_once(spark, documents, tokenizer):
     extra = spark.createDataFrame([(-1, None), (-2, ""), (-4, "w " * 9000)], "doc_id long, text string")
     rows = packing.pack(with_odd_columns(documents.select("doc_id", "text").union(extra)), catalog.vocabulary()).toPandas()
