@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,11 +161,13 @@ def predictor(docs: DataFrame, table: CodeTable) -> Callable[[str], F.Column]:
     """A function that makes struct<lang_pred, score> of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = shared.value
         for batch in batches:
-            yield pd.DataFrame([own.predict(t) for t in batch], columns=["lang_pred", "score"])
+            # Texts become Python strings one at a time: a batch may hold ten thousand of any length.
+            languages, scores = zip(*[own.predict(value.as_py()) for value in batch]) if len(batch) else ((), ())
+            yield pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     return lambda text: predict(F.col(text))
 

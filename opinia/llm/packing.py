@@ -34,9 +34,11 @@ SEQUENCE = 4096
 END_ID = 2
 # Enough pieces for nearly full sequences, few enough for one small task.
 GROUP_PIECES = 2048
-# What a worker's memo may hold, with about so many bytes for an entry besides word and code.
-MEMO_BYTES = 96 << 20
-ENTRY_BYTES = 150
+# What a worker's memo may hold, with so many bytes for an entry besides its ids.
+MEMO_BYTES = 24 << 20
+ENTRY_BYTES = 14
+# Entries that wait before they are sorted into the rest of the memo.
+RECENT_WORDS = 1 << 15
 # Longer stretches without a space are not kept.
 LONGEST_CACHED = 64
 MARKS = frozenset(".,;:!?")
@@ -55,9 +57,51 @@ PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 SPECIAL_MARK = b"<|"
 
 
+def gathered(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Runs of ``ids`` behind each other."""
+    ends = np.cumsum(size)
+    return ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)]
+
+
+class Memo:
+    """Ids of words by their 64-bit hashes, as arrays: sorted hashes, and where the ids of each lie among all."""
+
+    def __init__(self) -> None:
+        self.hashes, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint16)
+        self.ids = np.zeros(0, np.uint32)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    @property
+    def held(self) -> int:
+        return ENTRY_BYTES * len(self.hashes) + self.ids.nbytes
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each one's entry, -1 where there is none."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def runs(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of entries."""
+        size = self.size[places].astype(np.int64)
+        return gathered(self.ids, self.begin[places].astype(np.int64), size), size
+
+    def add(self, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Entries that are not there yet."""
+        every = np.concatenate([self.hashes, hashes])
+        order = np.argsort(every, kind="stable")
+        begin = begin.astype(np.uint32) + np.uint32(len(self.ids))
+        self.hashes, self.begin = every[order], np.concatenate([self.begin, begin])[order]
+        self.size = np.concatenate([self.size, size.astype(np.uint16)])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+
 class WordEncoder:
-    """A tokenizers file asked once for each different word: its results for words between spaces are kept as packed bytes,
-    by a 64-bit hash of the word."""
+    """A tokenizers file asked once for each different word: its results for words between spaces are kept in arrays, by a 64-bit
+    hash of the word."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -70,8 +114,7 @@ class WordEncoder:
         self.byte_characters = byte_characters()
         self.byte_codes = np.array([ord(self.byte_characters[b]) for b in range(256)], "<u4")
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.memo: dict[int, bytes] = {}
-        self.held = 0
+        self.memo, self.recent = Memo(), Memo()
         if not all(s.startswith(SPECIAL_MARK.decode()) for s in self.specials):
             raise ValueError("special tokens of another kind")
 
@@ -134,22 +177,38 @@ class WordEncoder:
                 found[k] = code
         return found
 
-    def codes(self, data: np.ndarray, hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[bytes]:
-        """Ids of different words of ``data``, from the memo where it has them."""
-        memo, keys = self.memo, hashes.tolist()
-        found = list(map(memo.get, keys))
-        missing = [k for k, code in enumerate(found) if code is None]
-        if missing:
+    def codes(self, data: np.ndarray, hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first id, number of ids) of different words of ``data``, from the memo where it has them."""
+        begin, size = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        pools, n, missing = [], 0, np.arange(len(hashes))
+
+        def put(at: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+            nonlocal n
+            begin[at], size[at] = n + np.cumsum(sizes) - sizes, sizes
+            pools.append(ids)
+            n += len(ids)
+
+        for memo in (self.memo, self.recent):
+            places = memo.places(hashes[missing])
+            known = places >= 0
+            put(missing[known], *memo.runs(places[known]))
+            missing = missing[~known]
+        if len(missing):
             fresh = self.fresh_codes(data, first[missing], last[missing])
-            for k, code in zip(missing, fresh):
-                found[k] = code
-            kept = {keys[k]: code for k, code in zip(missing, fresh) if last[k] - first[k] <= LONGEST_CACHED}
-            self.held += sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
-            if self.held > MEMO_BYTES:
-                memo.clear()
-                self.held = 0
-            memo.update(kept)
-        return found
+            sizes = np.array([len(code) for code in fresh], np.int64) // 4
+            ids = np.frombuffer(b"".join(fresh), np.uint32)
+            put(missing, ids, sizes)
+            kept = last[missing] - first[missing] <= LONGEST_CACHED
+            self.keep(hashes[missing][kept], sizes[kept], gathered(ids, (np.cumsum(sizes) - sizes)[kept], sizes[kept]))
+        return np.concatenate(pools), begin, size
+
+    def keep(self, hashes: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        self.recent.add(hashes, np.cumsum(size) - size, size, ids)
+        if self.memo.held + self.recent.held > MEMO_BYTES:
+            self.memo, self.recent = Memo(), Memo()
+        elif len(self.recent) > RECENT_WORDS:
+            self.memo.add(self.recent.hashes, self.recent.begin, self.recent.size, self.recent.ids)
+            self.recent = Memo()
 
     def block(self, data: np.ndarray, starts: np.ndarray) -> list[bytes]:
         """Ids of texts that lie side by side, as little-endian unsigned 32-bit numbers."""
@@ -158,14 +217,11 @@ class WordEncoder:
         long_ = np.flatnonzero(last - first > LONGEST_CACHED)
         hashes[long_] = np.arange(len(long_), dtype=np.uint64)
         _, chosen, at = np.unique(hashes, return_index=True, return_inverse=True)
-        codes = self.codes(data, hashes[chosen], first[chosen], last[chosen])
-        sizes = np.array([len(c) for c in codes], np.int64) // 4
-        ids = np.frombuffer(b"".join(codes), np.uint32)
-        begin, size = (np.cumsum(sizes) - sizes)[at], sizes[at]
-        ends = np.cumsum(size)
+        ids, begin, size = self.codes(data, hashes[chosen], first[chosen], last[chosen])
         # Each word's ids, from where its code begins.
-        ids = ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - size), size)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        size = size[at]
+        ids = gathered(ids, begin[at], size)
+        bounds = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
         return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
 
     def packed(self, column: pa.Array) -> Iterator[bytes]:

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,11 +62,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, fp): fingerprints as signed 64-bit numbers."""
 
-    @F.pandas_udf("long")
-    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def prints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            values = np.array([fingerprint(t, shingle, seed) for t in batch], dtype=np.uint64)
-            yield pd.Series(values.view(np.int64))
+            # Texts become Python strings one at a time: a batch may hold ten thousand of any length.
+            values = np.array([fingerprint(value.as_py(), shingle, seed) for value in batch], dtype=np.uint64)
+            yield pa.array(values.view(np.int64))
 
     return docs.select("doc_id", prints(F.col(text)).alias("fp"))
 

@@ -8,6 +8,7 @@ import random
 import re
 import string
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -118,6 +119,26 @@ def test_words_of_letters_are_told_apart_as_arrays(monkeypatch, tokenizer):
     assert sorted(asked) == sorted(["a×b", "÷", "x1", "ŁÓDŹ", "d'Été"])
 
 
+def test_words_that_a_worker_keeps_take_few_bytes(monkeypatch, tokenizer):
+    packer = packing.WordEncoder(catalog.vocabulary())
+    monkeypatch.setattr(packing, "RECENT_WORDS", 1000, raising=False)
+    rng = random.Random(5)
+    words = ["".join(rng.choices(string.ascii_lowercase, k=9)) for _ in range(20_000)]
+    texts = [" ".join(words[at : at + 500]) for at in range(0, len(words), 500)] * 2
+    list(packer.packed(pa.array(["warm up"])))
+    tracemalloc.start()
+    for text in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids if text is texts[0] else None
+        found = np.frombuffer(next(packer.packed(pa.array([text]))), np.uint32).tolist()
+        assert ids is None or found == ids
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 70 * len(words)
+    # Those that are known are not asked for again, and have the same ids.
+    monkeypatch.setattr(packer, "fresh_codes", None)
+    assert np.frombuffer(next(packer.packed(pa.array([texts[7]]))), np.uint32).tolist() == tokenizer.encode(texts[7], add_special_tokens=False).ids
+
+
 def test_packing_places_every_id_once(spark, documents, tokenizer):
     extra = spark.createDataFrame([(-1, None), (-2, ""), (-4, "w " * 9000)], "doc_id long, text string")
     rows = packing.pack(with_odd_columns(documents.select("doc_id", "text").union(extra)), catalog.vocabulary()).toPandas()
