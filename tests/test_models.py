@@ -88,6 +88,19 @@ def test_neighbours(counted, fresh, matrices, block_docs):
         assert [r["neighbour"] for r in got if r["doc_id"] == i] == nearest.tolist()
 
 
+def test_pairs_of_blocks_are_not_shuffled(spark):
+    rows = spark.range(400).selectExpr(
+        "id AS doc_id", "array(cast(id % 7 AS int), cast(7 + id % 5 AS int)) AS indices", "array(0.6D, 0.8D) AS values", "if(id % 2 = 0, 'a', 'b') AS class"
+    )
+    found = neighbours.nearest_neighbours(rows.drop("class"), rows, 5, 100)
+    plan = found._jdf.queryExecution().toString()
+    # Blocks were sent to every block of the other side by a shuffle.
+    assert "CartesianProduct" in plan and "CoGroups" not in plan
+    same = {(r["doc_id"] - r["neighbour"]) % 35 for r in found.where("rank <= 3").collect()}
+    assert same == {0} and found.count() == 2000
+
+
+
 @pytest.fixture(scope="module")
 def sparse(counted):
     words = features.fit_vectoriser(counted, 0.5, 2)
