@@ -12,6 +12,7 @@ What keeps it bounded:
 - At an anchor with more than ``CROWDED`` homes, pairs also agree in one of the four bytes of the other half (three
   differing bits cannot touch four bytes), so rows are dealt again by that byte. This is exact; no pair is dropped.
 - Components come from rounds of minimum labels with pointer jumping over links between distinct fingerprints only.
+- All joins of fingerprints shuffle both sides, however small Spark takes one to be; only the driver's few hot ones are broadcast.
 - Labels go back to documents through a shuffle; the few fingerprints that hold 1/1024 of all rows or more, at most
   1,024 of them, go by broadcast.
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinia.llm.storage import whole_row, written
+from opinia.llm.storage import shuffled, whole_row, written
 
 SHINGLE = 3
 SEED = 42
@@ -108,14 +109,14 @@ def links(distinct: DataFrame, crowded: int = CROWDED) -> DataFrame:
     rows = anchored(distinct)
     homes = rows.where("home").groupBy("anchor").agg(F.count("*").alias("homes"))
     # A home row alone at its anchor still has to wait for copies of others, so it stays.
-    met = written(rows.join(homes, "anchor"))
+    met = written(rows.join(shuffled(homes), "anchor"))
     other = F.when(F.shiftright("anchor", ANCHOR_BITS) == 0, F.shiftright("fp", 32)).otherwise(F.col("fp"))
     bytes_ = F.array(*[F.shiftright(other, 8 * k).bitwiseAND(255) + 256 * k for k in range(4)])
     keyed = met.withColumn("part", F.explode(F.when(F.col("homes") > crowded, bytes_).otherwise(F.array(F.lit(-1).cast("long")))))
     left = keyed.where("home").select("anchor", "part", F.col("fp").alias("one"))
     right = keyed.select("anchor", "part", F.col("fp").alias("two"))
     near = (F.col("one") != F.col("two")) & (F.bit_count(F.col("one").bitwiseXOR(F.col("two"))) <= THRESHOLD)
-    pairs = left.join(right, ["anchor", "part"]).where(near)
+    pairs = left.join(shuffled(right), ["anchor", "part"]).where(near)
     return pairs.select(F.least("one", "two").alias("low"), F.greatest("one", "two").alias("high")).distinct()
 
 
@@ -125,12 +126,12 @@ def components(edges: DataFrame) -> DataFrame:
     both = written(edges.union(edges.select(F.col("high").alias("low"), F.col("low").alias("high"))).toDF("node", "next"))
     labels = written(both.groupBy("node").agg(F.least("node", F.min("next")).alias("label")))
     while True:
-        heard = both.join(labels.select(F.col("node").alias("next"), F.col("label").alias("heard")), "next")
+        heard = both.join(shuffled(labels.select(F.col("node").alias("next"), F.col("label").alias("heard"))), "next")
         least = heard.groupBy("node").agg(F.min("heard").alias("heard"))
-        spread = labels.join(least, "node").select("node", F.col("label").alias("was"), F.least("label", "heard").alias("label"))
+        spread = labels.join(shuffled(least), "node").select("node", F.col("label").alias("was"), F.least("label", "heard").alias("label"))
         # Where the label points now.
         ahead = labels.select(F.col("node").alias("label"), F.col("label").alias("ahead"))
-        jumped = written(spread.join(ahead, "label", "left").select("node", "was", F.least("label", F.coalesce("ahead", "label")).alias("label")))
+        jumped = written(spread.join(shuffled(ahead), "label", "left").select("node", "was", F.least("label", F.coalesce("ahead", "label")).alias("label")))
         labels = jumped.select("node", "label")
         if jumped.where("label != was").isEmpty():
             return labels
@@ -141,17 +142,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", crowded: int = CROWDED)
     prints = written(fingerprints(docs, text))
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")))
     linked = components(links(classes, crowded)).withColumnRenamed("node", "fp")
-    grouped = written(linked.join(classes, "fp"))
+    grouped = written(linked.join(shuffled(classes), "fp"))
     smallest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    found = grouped.join(smallest, "label").select("fp", "component_id")
+    found = grouped.join(shuffled(smallest), "label").select("fp", "component_id")
     labels = written(
-        classes.join(found, "fp", "left").select("fp", "n", F.coalesce("component_id", "first").alias("component_id"))
+        classes.join(shuffled(found), "fp", "left").select("fp", "n", F.coalesce("component_id", "first").alias("component_id"))
     )
     total = prints.count()
     # At most HOT_SHARE rows, as each stands for that share of all rows.
     hot = labels.where(F.col("n") * HOT_SHARE >= total).select("fp", "component_id")
     by_hot = prints.join(F.broadcast(hot), "fp")
-    rest = prints.join(F.broadcast(hot), "fp", "left_anti").join(labels.where(F.col("n") * HOT_SHARE < total), "fp")
+    rest = prints.join(F.broadcast(hot), "fp", "left_anti").join(shuffled(labels.where(F.col("n") * HOT_SHARE < total)), "fp")
     return by_hot.unionByName(rest.select(*by_hot.columns)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
@@ -163,7 +164,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows that repeat a doc_id count as one document, of which the first by text stays; rows without a doc_id stay.
     """
     keepers = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.select("doc_id", whole_row(docs)).join(keepers, "doc_id", "left_semi")
+    kept = docs.select("doc_id", whole_row(docs)).join(shuffled(keepers), "doc_id", "left_semi")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("_row.text"))
     kept = kept.withColumn("place", first).where("place = 1").select("_row.*")
     return kept.unionByName(docs.where("doc_id is null"))

@@ -17,6 +17,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """One side of a join that both sides are shuffled for, never broadcast: compressed files, copied rows and Python steps let
+    Spark size a table of millions of rows at a few megabytes."""
+    return df.hint("merge")
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, which a user sets to fit the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
