@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opinia.operators import dual, reduction, sgd
+from opinia.operators import dual, evaluation, naive_bayes, reduction, sgd
 from opinia.operators.classifiers import ClassifierSettings, fit_classifier
 from opinia.operators.materialize import CLEANED, checkpoint_folder, drop, materialize, passing_tables
 from opinia.plans import search
@@ -100,3 +100,23 @@ def test_a_search_leaves_no_tables(spark, reviews):
     log = search.run_search(reviews, search.parameter_grid({"classifier": ["complementnb"], "max_df": [0.5, 0.8], "min_df": [1]}), k=3)
     assert log.where("f1_weighted is not null").count() == 2
     assert tables(spark) == before
+
+
+def test_terms_of_one_document_travel_without_folds(spark, reviews, monkeypatch):
+    """Out-of-fold Naive Bayes: no row of sums or of the model for a term of a single document, and the same predictions as a
+    fit for each fold."""
+    rows = reviews.collect()
+    docs = [(r["doc_id"], r["class"], i % 3, [{"term": t, "tf": 1 + i % 2} for t in sorted({*r["text"].split(), f"only{i}", "all" if i else "none"})]) for i, r in enumerate(rows)]
+    terms = spark.createDataFrame(docs, "doc_id long, class string, fold int, terms array<struct<term: string, tf: int>>")
+    seen, write = [], evaluation.materialize
+    monkeypatch.setattr(evaluation, "materialize", lambda df: seen.append(write(df)) or seen[-1])
+    monkeypatch.setattr(evaluation, "drop", lambda *tables: None)
+    for kind, max_df, min_df in (("complement", 0.5, 1), ("multinomial", 0.9, 1), ("complement", 0.9, 2)):
+        seen.clear()
+        found = evaluation.out_of_fold_naive_bayes(terms, 3, kind, 1.0, max_df, min_df).collect()
+        assert not [r["term"] for table in seen for r in table.select("term").collect() if (r["term"] or "").startswith(("only", "none"))]
+        expected = {}
+        for f in range(3):
+            model = naive_bayes.fit_naive_bayes(terms.where(F.col("fold") != f), kind, 1.0, max_df, min_df)
+            expected |= {r["doc_id"]: r["predicted"] for r in model.predict(terms.where(F.col("fold") == f).drop("class")).collect()}
+        assert {r["doc_id"]: r["predicted"] for r in found} == expected
