@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opinia.operators import dual, evaluation, naive_bayes, reduction, sgd
+from opinia.operators import dual, evaluation, naive_bayes, reduction, sgd, term_blocks
 from opinia.operators.classifiers import ClassifierSettings, fit_classifier
 from opinia.operators.materialize import CLEANED, checkpoint_folder, drop, materialize, passing_tables
-from opinia.plans import search
+from opinia.plans import catalog, search
 
 
 def tables(spark):
@@ -120,3 +120,27 @@ def test_terms_of_one_document_travel_without_folds(spark, reviews, monkeypatch)
             model = naive_bayes.fit_naive_bayes(terms.where(F.col("fold") != f), kind, 1.0, max_df, min_df)
             expected |= {r["doc_id"]: r["predicted"] for r in model.predict(terms.where(F.col("fold") == f).drop("class")).collect()}
         assert {r["doc_id"]: r["predicted"] for r in found} == expected
+
+
+def test_naive_bayes_writes_blocks_and_model_only(spark, reviews, monkeypatch):
+    """The terms are written once, as blocks, which go with the fit; small blocks give the same sums."""
+    rows = [(r["doc_id"], r["class"], [{"term": t, "tf": 2} for t in sorted(set(r["text"].split()))]) for r in reviews.collect()]
+    terms = spark.createDataFrame(rows, "doc_id long, class string, terms array<struct<term: string, tf: int>>")
+    found = []
+    for entries in (1 << 19, 25):
+        monkeypatch.setattr(term_blocks, "BLOCK_ENTRIES", entries)
+        for kind in naive_bayes.KINDS:
+            before = tables(spark)
+            model = naive_bayes.fit_naive_bayes(terms, kind, 1.0, 0.9, 2, 9)
+            assert len(tables(spark) - before) == 1
+            found.append({r["term"]: r.asDict() for r in model.terms.collect()})
+    for one, other in zip(found[:3], found[3:]):
+        assert len(one) == 9 and one.keys() == other.keys()
+        assert all(one[t][c] == pytest.approx(other[t][c], rel=1e-9) for t in one for c in one[t] if c != "term")
+
+
+def test_a_query_keeps_no_terms_of_the_fit(spark):
+    """What stays is the vocabulary, the weights and the blocks of the texts to predict."""
+    before = tables(spark)
+    found = catalog.queries()["linear_svm_predict"](spark, "/root/testdata/sf0.001")
+    assert len(tables(spark) - before) == 3 and found.count() > 0
