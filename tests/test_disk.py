@@ -1,8 +1,10 @@
 """What stays on disk: shuffle files and tables that nothing reads any more."""
 
 import os
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,22 @@ def test_a_query_keeps_no_terms_of_the_fit(spark):
     before = tables(spark)
     found = catalog.queries()["linear_svm_predict"](spark, "/root/testdata/sf0.001")
     assert len(tables(spark) - before) == 3 and found.count() > 0
+
+
+def test_a_dual_block_is_read_in_batches_and_small():
+    """Messages come a batch at a time, in any order; a block takes less than 55 bytes an entry while it is put together."""
+    deal, rows = np.random.default_rng(1), []
+    for i in range(2000):
+        names = np.unique(deal.integers(0, 100_000, 300))
+        rows.append((7, "doc", i, dual._packed_doc(i, 1.0 if i % 3 else -1.0, -1, names, deal.random(len(names)))[1], None))
+    frame = pd.DataFrame(rows, columns=["target", "kind", "source", "payload", "numbers"])
+    found = []
+    for order in (range(0, 2000, 100), range(1900, -1, -100)):
+        tracemalloc.start()
+        block, weights, spread, target = dual._answered((frame[a : a + 100] for a in order), [dual.Margin()], dual.Vectoriser(), (8, 1))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 55 * len(block.values) and target == 7 and block.ids.tolist() == list(range(2000))
+        dual.ascend(block, weights, spread, [dual.Margin()], 2, 3, None)
+        found.append(weights)
+    assert (found[0] == found[1]).all() and dual.BLOCK_ENTRIES <= 1 << 24
